@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kiln.operators.ordered import ordered_scan
+
 HEX_BUCKET_CHARS = 3  # 16**3 = 4096 order-preserving buckets of the hash
 
 
@@ -48,24 +50,10 @@ def hash_split(df: DataFrame, id_col: str, train_fraction: float = 0.8,
 def global_rank(df: DataFrame, order: Sequence[Column], bucket: Column,
                 partition_by: Sequence[str] = (), rank_col: str = "_rank",
                 size_col: str | None = "_n") -> DataFrame:
-    """1-based position of each row within ``partition_by`` in ``order``.
-
-    ``bucket`` must be non-decreasing along ``order`` (a hash prefix for hash
-    order, an id range for id order). Rows are numbered inside (group,
-    bucket) -- so a hot group is spread over many buckets -- then shifted by
-    the number of rows in earlier buckets, taken from a per-bucket count
-    table (groups x buckets rows; AQE broadcasts it after measuring it)."""
-    keys = list(partition_by)
-    b = df.withColumn("_b", bucket)
-    local = b.withColumn("_local", F.row_number().over(
-        Window.partitionBy(*keys, "_b").orderBy(*order)))
-    counts = b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-    if size_col:
-        offsets = offsets.withColumn(size_col, F.sum("_cnt").over(Window.partitionBy(*keys)))
-    out = local.join(offsets.drop("_cnt"), keys + ["_b"])
-    return out.withColumn(rank_col, F.col("_off") + F.col("_local")).drop("_b", "_local", "_off")
+    """1-based position of each row within ``partition_by`` in ``order``;
+    ``bucket`` must be non-decreasing along ``order`` (see ``ordered_scan``:
+    a hot group is spread over many buckets, never one task)."""
+    return ordered_scan(df, order, bucket, partition_by, rank_col=rank_col, size_col=size_col)
 
 
 def hash_rank(df: DataFrame, id_col: str, seed: int | None = None,
