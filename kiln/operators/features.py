@@ -96,17 +96,24 @@ def feature_pipeline(spec: FeatureSpec, scale_numeric: bool = False,
 
 def word_shares(df: DataFrame, id_col: str, text_col: str = "text",
                 keep: Sequence[str] = (), vocabulary: Sequence[str] | None = None,
-                pattern: str = "[^a-z]+", scale: float = 100.0) -> DataFrame:
+                pattern: str = "[^a-z]+", scale: float = 100.0,
+                per_token: bool = False) -> DataFrame:
     """M8: per row and word, the word's share of the row's words (in percent
     by default, like word-frequency tables). Long form: one output row per
     (row, distinct word). ``vocabulary`` restricts the words kept (a fixed,
-    caller-given list). Each row's words are counted inside the task that
-    read it (partial aggregate), so the shuffle carries distinct pairs only."""
+    caller-given list).
+
+    ``per_token=True`` skips the per-(row, word) aggregation and returns one
+    row per token with ``x = scale / n_words``: the rows of a (row, word) sum
+    to its share, so any operator that only sums ``x`` (class sums, NB
+    scores) gets the same result without that shuffle."""
     toks = df.select(id_col, *keep, word_array(text_col, pattern).alias("_w"))
     toks = toks.withColumn("_total", F.size("_w"))
     long = toks.select(id_col, *keep, "_total", F.explode("_w").alias("word"))
     if vocabulary is not None:
         long = long.where(F.col("word").isin(list(vocabulary)))
+    if per_token:
+        return long.select(id_col, *keep, "word", (F.lit(scale) / F.col("_total")).alias("x"))
     return (long.groupBy(id_col, *keep, "_total", "word").agg(F.count(F.lit(1)).alias("_n"))
             .select(id_col, *keep, "word",
                     (F.lit(scale) * F.col("_n") / F.col("_total")).alias("x")))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from kiln.operators.joins import skew_safe_join
 from kiln.operators.stats import expand_grid
+from kiln.session import materialize
 
 
 @dataclass
@@ -56,35 +57,47 @@ def spam_word_ratio(features: DataFrame, rows: DataFrame, label: str = "label",
 
 
 def train(features: DataFrame, rows: DataFrame, label: str = "label",
-          alpha: float = 0.1, vocabulary: DataFrame | None = None) -> NBModel:
+          alpha: float = 0.1, vocabulary: DataFrame | None = None,
+          check_nonneg: bool = True) -> NBModel:
     """L1: ``pi_c = log(N_c / N)`` (not smoothed), ``theta_cj =
     log((S_cj + alpha) / (M_c + alpha * V))`` with ``S_cj`` the feature sum in
     class c, ``M_c`` the class's total feature mass and ``V`` the number of
     features (the vocabulary: all features seen in training unless given).
 
-    Raises if any feature value is negative (multinomial NB needs counts)."""
-    neg = features.where(F.col("x") < 0).limit(1).count()
-    if neg:
-        raise ValueError("multinomial Naive Bayes needs non-negative features")
-    vocab = vocabulary if vocabulary is not None else features.select("word").distinct()
-    n_features = vocab.count()
-    sizes = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    # k classes: bounded by the label domain, collected like any model parameter.
-    classes = sorted(r[0] for r in sizes.select(label).collect())
-    sums = features.groupBy(label, "word").agg(F.sum("x").alias("s"))
-    mass = sums.groupBy(label).agg(F.sum("s").alias("mass"))
-    denom = F.coalesce(F.col("mass"), F.lit(0.0)) + F.lit(alpha * n_features)
-    prior = (sizes.join(mass, label, "left")
-             .withColumn("pi", F.log(F.col("n") / F.sum("n").over(Window.partitionBy())))
-             .withColumn("theta_default", F.log(F.lit(alpha) / denom))
-             .withColumn("denom", denom)
-             .select(label, "n", "pi", "theta_default", "denom"))
-    grid = expand_grid(vocab.select("word"), {label: classes})
-    theta = (grid.join(sums, [label, "word"], "left")
-             .join(F.broadcast(prior.select(label, "denom")), label)
-             .select(label, "word",
-                     F.log((F.coalesce(F.col("s"), F.lit(0.0)) + F.lit(alpha)) / F.col("denom"))
-                     .alias("theta")))
+    Like ``Estimator.fit`` this is eager: the (class, feature) sums are
+    computed once, and the two model tables are written to the shared
+    checkpoint folder (they survive executor loss and carry no lineage).
+    Features may be per (row, word) or per token: only sums of ``x`` matter.
+    A negative feature value fails the job (multinomial NB needs counts);
+    the check rides inside the aggregation, no extra pass."""
+    x = F.col("x")
+    if check_nonneg:
+        x = F.when(x < 0, F.raise_error(F.lit("multinomial Naive Bayes needs non-negative features"))) \
+            .otherwise(x)
+    sums = features.groupBy(label, "word").agg(F.sum(x).alias("s")).persist()
+    try:
+        vocab = vocabulary if vocabulary is not None else sums.select("word").distinct()
+        n_features = vocab.count()
+        sizes = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+        mass = sums.groupBy(label).agg(F.sum("s").alias("mass"))
+        denom = F.coalesce(F.col("mass"), F.lit(0.0)) + F.lit(alpha * n_features)
+        prior = materialize(
+            sizes.join(mass, label, "left")
+            .withColumn("pi", F.log(F.col("n") / F.sum("n").over(Window.partitionBy())))
+            .withColumn("theta_default", F.log(F.lit(alpha) / denom))
+            .withColumn("denom", denom)
+            .select(label, "n", "pi", "theta_default", "denom"), "nb-prior")
+        # k classes: one row each in the prior, collected like any model parameter.
+        classes = sorted(r[0] for r in prior.select(label).collect())
+        grid = expand_grid(vocab.select("word"), {label: classes})
+        theta = materialize(
+            grid.join(sums, [label, "word"], "left")
+            .join(F.broadcast(prior.select(label, "denom")), label)
+            .select(label, "word",
+                    F.log((F.coalesce(F.col("s"), F.lit(0.0)) + F.lit(alpha)) / F.col("denom"))
+                    .alias("theta")), "nb-theta")
+    finally:
+        sums.unpersist()
     return NBModel(prior=prior.drop("denom"), theta=theta, classes=classes,
                    n_features=n_features)
 
@@ -96,9 +109,12 @@ def score(model: NBModel, features: DataFrame, rows: DataFrame, id_col: str,
     Returns ``rows`` with a ``prediction`` column.
 
     The (id, word) x theta join is on ``word``, whose frequent values are hot:
-    theta is broadcast when its checked row count allows, else salted."""
+    theta (V x k rows, known from training) is broadcast when that count is
+    within ``max_broadcast_rows``, else it is a shuffle join that AQE splits
+    on skewed words."""
     th = model.theta.withColumnRenamed(label, "_class")
     contrib = skew_safe_join(features.select(id_col, "word", "x"), th, ["word"],
+                             small_rows=model.n_features * len(model.classes),
                              max_broadcast_rows=max_broadcast_rows)
     dots = contrib.groupBy(id_col, "_class").agg(F.sum(F.col("x") * F.col("theta")).alias("dot"))
     pri = model.prior.select(F.col(label).alias("_class"), "pi")

@@ -54,13 +54,13 @@ def q_spam_word_ratio(spark, sf_dir):
     """Flagship: which words mark the positive (toxic) class? scan -> tokenise
     -> word shares -> class sums -> ratio -> top 5."""
     docs = labelled_documents(spark, sf_dir, "toxic")
-    shares = word_shares(docs, "doc_id", keep=["label"])
+    shares = word_shares(docs, "doc_id", keep=["label"], per_token=True)
     return nb.spam_word_ratio(shares, docs.select("doc_id", "label"))
 
 
 def _nb_inputs(spark, sf_dir):
     docs = hash_split(labelled_documents(spark, sf_dir, "toxic"), "doc_id", 0.8, seed=0)
-    shares = word_shares(docs, "doc_id", keep=["label", "split"])
+    shares = word_shares(docs, "doc_id", keep=["label", "split"], per_token=True)
     return docs, shares
 
 

@@ -64,3 +64,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     loss). Never a local checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Compute ``df`` once, write it as parquet to a fresh folder under the
+    shared checkpoint folder, and return a scan of it: no lineage, survives
+    executor loss, computed a single time (unlike an unpersisted checkpoint)."""
+    path = shared_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -22,10 +22,24 @@ TABLES = (
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: Sequence[str] | None = None) -> DataFrame:
-    """Parquet scan with column pruning."""
+               columns: Sequence[str] | None = None, balance: bool = True) -> DataFrame:
+    """Parquet scan with column pruning.
+
+    With ``balance``, a scan that yields fewer splits than the session's
+    default parallelism (a file with one row group) is spread over that many
+    partitions, so per-row work after it uses every core. Planning the scan
+    is metadata only; on large inputs (many row groups) nothing is added."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    return rebalance(df) if balance else df
+
+
+def rebalance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when ``df`` has fewer partitions than
+    ``min_partitions`` (default: the session's default parallelism)."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
