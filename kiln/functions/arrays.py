@@ -56,15 +56,16 @@ def argmax(arr: Column | str) -> Column:
 def sample_category(logits: Column | str, row_key: Column, seed: int,
                     temperature: float = 1.0) -> Column:
     """Draw a category with probabilities ``softmax(logits / T)`` by the
-    Gumbel-max rule. The uniform for element i of a row is a hash of
-    (seed, row_key, i), so a draw is reproducible under any partitioning."""
+    Gumbel-max rule. The uniform for element i of a row comes from the md5 of
+    ``seed:row_key:i`` (32 bits), so a draw is reproducible under any
+    partitioning and on any engine with md5."""
     a = _c(logits).cast("array<double>")
-    two53 = float(2 ** 53)
 
     def gumbel(v, i):
-        h = F.xxhash64(F.lit(seed), row_key, i)
-        u = (F.pmod(h, F.lit(2 ** 53)).cast("double") + F.lit(0.5)) / F.lit(two53)
-        return v / F.lit(temperature) - F.log(-F.log(u))
+        key = F.concat_ws(":", F.lit(str(seed)), row_key.cast("string"), i.cast("string"))
+        h = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+        u = (h.cast("double") + F.lit(0.5)) / F.lit(4294967296.0)
+        return v / F.lit(float(temperature)) - F.log(-F.log(u))
 
     return argmax(F.transform(a, gumbel))
 
