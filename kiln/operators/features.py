@@ -56,14 +56,14 @@ def index_and_encode(categorical: Sequence[str], keep_invalid: bool = True,
     """M3 + M4: one multi-column StringIndexer (one pass over the data for all
     columns) and one multi-column OneHotEncoder. With ``keep_invalid`` a null
     or unseen value gets its own index, and the one-hot vector has a slot
-    for it (2 levels -> size 3)."""
+    for it; the last slot is dropped as usual (2 levels -> size 3)."""
     idx_cols = [f"{c}_idx" for c in categorical]
     handle = "keep" if keep_invalid else "error"
     return [
         StringIndexer(inputCols=list(categorical), outputCols=idx_cols,
                       handleInvalid=handle, stringOrderType=order),
         OneHotEncoder(inputCols=idx_cols, outputCols=[f"{c}_vec" for c in categorical],
-                      handleInvalid=handle, dropLast=False),
+                      handleInvalid=handle),
     ]
 
 

@@ -63,7 +63,7 @@ dist AS (SELECT e.vec_id, e.label, e.embedding, c.cid,
          list_sum(list_transform(range(1, len(e.embedding) + 1),
                   lambda i: (e.embedding[i]::DOUBLE - c.ce[i]::DOUBLE) * (e.embedding[i]::DOUBLE - c.ce[i]::DOUBLE))) AS d
          FROM embeddings e CROSS JOIN c),
-asg AS (SELECT vec_id, label, embedding, cid AS cluster FROM (
+asg AS (SELECT vec_id, label, embedding, cid::INTEGER AS cluster FROM (
           SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, cid) AS rn FROM dist) WHERE rn = 1)
 """
 
@@ -92,7 +92,7 @@ def q_kmeans_round(spark, sf_dir):
 
 @query("kmeans_purity_fixed", sql=_STARTS_SQL + """
 , ct AS (SELECT cluster, label, count(*) AS n FROM asg GROUP BY cluster, label)
-SELECT cluster, sum(n) AS size, round(max(n) / sum(n), 9) AS purity FROM ct GROUP BY cluster
+SELECT cluster, sum(n)::BIGINT AS size, round(max(n) / sum(n), 9) AS purity FROM ct GROUP BY cluster
 """)
 def q_kmeans_purity_fixed(spark, sf_dir):
     """E6 + A13: composition of the fixed-centroid clusters by label, purity."""

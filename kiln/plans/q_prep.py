@@ -43,7 +43,7 @@ def q_parse_delimited(spark, sf_dir):
 
 @query("recode_case", sql="""
 SELECT o_orderkey, o_orderstatus,
-       CASE o_orderstatus WHEN 'F' THEN 0.0 WHEN 'O' THEN 1.0 ELSE NULL END AS status_code
+       CASE o_orderstatus WHEN 'F' THEN 0.0::DOUBLE WHEN 'O' THEN 1.0::DOUBLE ELSE NULL END AS status_code
 FROM orders
 """)
 def q_recode_case(spark, sf_dir):

@@ -22,7 +22,7 @@ ANSWER_PREFIX = "Answer: "
 @query("strip_tags", sql=r"""
 SELECT page_id,
        regexp_replace(regexp_replace(html, '\n\n!\[\]\(.*?\)', '', 'g'), '<.*?>', '', 'g') AS clean,
-       length(regexp_replace(regexp_replace(html, '\n\n!\[\]\(.*?\)', '', 'g'), '<.*?>', '', 'g')) AS n_chars
+       length(regexp_replace(regexp_replace(html, '\n\n!\[\]\(.*?\)', '', 'g'), '<.*?>', '', 'g'))::INTEGER AS n_chars
 FROM pages
 """)
 def q_strip_tags(spark, sf_dir):
@@ -118,7 +118,7 @@ c AS (SELECT doc_id AS sample_id, (start // (budget - 128))::INTEGER AS chunk_in
 
 
 @query("token_chunks", sql=_CHUNK_SQL + """
-SELECT sample_id, chunk_index, list_resize(ids::BIGINT[], 512, 0) AS input_ids, len(ids) AS n_real FROM c
+SELECT sample_id, chunk_index, list_resize(ids::BIGINT[], 512, 0) AS input_ids, len(ids)::INTEGER AS n_real FROM c
 """)
 def q_token_chunks(spark, sf_dir):
     """M7 + X23 + X24: documents tokenised, hashed to ids, cut into 512-token

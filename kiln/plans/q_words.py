@@ -131,3 +131,30 @@ def q_nb_score_confusion(spark, sf_dir):
     base = scored.sparkSession.createDataFrame([(c,) for c in classes], "label int")
     return zero_filled_grid(counts, base, {"prediction": classes}, "n", 0) \
         .select("label", "prediction", F.col("n").cast("bigint").alias("n"))
+
+
+@query("nb_ml_metrics")
+def q_nb_ml_metrics(spark, sf_dir):
+    """L4: the library multinomial NB (smoothing 0.1) on the same word shares
+    (word counts -> L1-normalised vectors), fit on train, scored on test:
+    accuracy, weighted F1 and the (smoothed) class priors."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import CountVectorizer, Normalizer
+    from pyspark.sql import Row
+
+    from kiln.functions.strings import words
+    from kiln.operators import evaluate as ev
+    from kiln.operators.models import naive_bayes
+
+    docs = hash_split(labelled_documents(spark, sf_dir, "toxic"), "doc_id", 0.8, seed=0)
+    d = docs.select("doc_id", F.col("label").cast("double").alias("label"), "split",
+                    words("text").alias("tokens"))
+    pipe = Pipeline(stages=[CountVectorizer(inputCol="tokens", outputCol="counts"),
+                            Normalizer(inputCol="counts", outputCol="features", p=1.0),
+                            naive_bayes(smoothing=ALPHA)])
+    model = pipe.fit(d.where("split = 'train'"))
+    pred = model.transform(d.where("split = 'test'")).select("label", "prediction")
+    m = ev.classification_metrics(ev.confusion(pred, [0.0, 1.0])).first()
+    nbm = model.stages[-1]
+    return spark.createDataFrame([Row(accuracy=float(m["accuracy"]), f1_weighted=float(m["f1_weighted"]),
+                                      pi=[float(p) for p in nbm.pi], n_test=int(m["total"]))])
