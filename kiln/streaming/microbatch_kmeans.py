@@ -49,6 +49,24 @@ class StreamResult:
     counts_path: str
 
 
+def decayed_update(cents, weights, stats, alpha):
+    """T2 on k rows: ``stats[j] = (m_j, mean_j)`` for the clusters present in
+    the batch. ``n_old = alpha * n_j``; present: ``c_j = (n_old c_j + m_j
+    mean_j) / (n_old + m_j)``, ``n_j = n_old + m_j``; absent: ``n_j = n_old``."""
+    new_c, new_w = [], []
+    for j in range(len(cents)):
+        n_old = alpha * weights[j]
+        if j in stats:
+            m, mean = stats[j]
+            den = n_old + m
+            new_c.append([(n_old * c + m * x) / den for c, x in zip(cents[j], mean)])
+            new_w.append(den)
+        else:
+            new_c.append(list(cents[j]))
+            new_w.append(n_old)
+    return new_c, new_w
+
+
 def _read_state(spark: SparkSession, state_path: str, before: int):
     """Latest state written for a batch id < ``before`` (k rows)."""
     if not os.path.exists(state_path) and "://" not in state_path:
@@ -85,18 +103,8 @@ def run(spark: SparkSession, batches_path: str, schema, vec: str, id_col: str, k
         d = len(cents[0])
         stats = {r["cluster"]: r for r in km.cluster_stats(batch, vec, cents, d).collect()}
         counts = [(int(batch_id), j, int(stats[j]["n"]) if j in stats else 0) for j in range(len(cents))]
-        new_c, new_w = [], []
-        for j in range(len(cents)):
-            n_old = alpha * weights[j]
-            if j in stats:
-                m = float(stats[j]["n"])
-                mean = list(stats[j]["centroid"])
-                den = n_old + m
-                new_c.append([(n_old * c + m * x) / den for c, x in zip(cents[j], mean)])
-                new_w.append(den)
-            else:
-                new_c.append(list(cents[j]))
-                new_w.append(n_old)
+        new_c, new_w = decayed_update(
+            cents, weights, {j: (float(r["n"]), list(r["centroid"])) for j, r in stats.items()}, alpha)
         rows = [(int(batch_id), j, new_c[j], new_w[j]) for j in range(len(new_c))]
         spark.createDataFrame(rows, "batch_id bigint, cluster int, centroid array<double>, weight double") \
             .coalesce(1).write.mode("overwrite").parquet(os.path.join(state_path, f"b={batch_id:08d}"))
@@ -113,11 +121,11 @@ def run(spark: SparkSession, batches_path: str, schema, vec: str, id_col: str, k
 
 def final_state(spark: SparkSession, result: StreamResult) -> DataFrame:
     """The k-row state after the last batch."""
-    st = spark.read.parquet(result.state_path)
-    last = st.agg(F.max("batch_id").alias("b"))
-    return st.join(last, st.batch_id == last.b).drop("b")
+    st = spark.read.parquet(result.state_path).drop("b")
+    last = st.agg(F.max("batch_id").alias("_last"))
+    return st.join(F.broadcast(last), st.batch_id == last["_last"]).drop("_last")
 
 
 def batch_counts(spark: SparkSession, result: StreamResult) -> DataFrame:
     """T4: per batch and cluster, rows assigned (before that batch's update)."""
-    return spark.read.parquet(result.counts_path)
+    return spark.read.parquet(result.counts_path).drop("b")
