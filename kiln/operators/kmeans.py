@@ -65,21 +65,40 @@ def nearest(vec: Column | str, centroids: Sequence[Sequence[float]]) -> Column:
     return nearest_of(vec, lits)
 
 
+def _with_best(df: DataFrame, vec: str, centroids: Sequence[Sequence[float]],
+               keep: Sequence[Column]) -> DataFrame:
+    """Rows of ``df`` with ``_best`` = struct(d, cid) of the nearest centroid,
+    computed once per row."""
+    v = F.col(vec).cast("array<double>")
+    best = F.array_min(F.transform(F.col("_cents"), lambda c, j: F.struct(
+        squared_distance(v, c).alias("d"), j.alias("cid"))))
+    return with_centroids(df, centroids).select(*keep, best.alias("_best"))
+
+
+def _cluster_of(best: str = "_best") -> Column:
+    b = F.col(best)
+    return F.when(~F.isnan(b["d"]) & b["d"].isNotNull(), b["cid"])
+
+
 def assign(df: DataFrame, vec: str, centroids: Sequence[Sequence[float]],
            out: str = "cluster") -> DataFrame:
-    return with_centroids(df, centroids).withColumn(out, nearest_of(vec, "_cents")).drop("_cents")
+    return _with_best(df, vec, centroids, [F.col(c) for c in df.columns]) \
+        .withColumn(out, _cluster_of()).drop("_best")
 
 
 def cluster_stats(df: DataFrame, vec: str, centroids: Sequence[Sequence[float]], d: int) -> DataFrame:
-    """Per cluster, row count, per-dimension mean and within-cluster sum of
-    squared distances -- one aggregate over one scan."""
-    v = F.col(vec).cast("array<double>")
-    a = with_centroids(df, centroids).select(
-        nearest_of(vec, "_cents").alias("cluster"), v.alias("_v"),
-        nearest_distance_of(vec, "_cents").alias("_d2"))
+    """Per cluster, row count, mean vector and within-cluster sum of
+    squared distances -- one aggregate over one scan. The mean is the
+    ``Summarizer`` vector aggregate (one expression, with a partial phase),
+    not d separate aggregates."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    a = _with_best(df, vec, centroids,
+                   [array_to_vector(F.col(vec).cast("array<double>")).alias("_v")]) \
+        .select(_cluster_of().alias("cluster"), "_v", F.col("_best.d").alias("_d2"))
     return a.where(F.col("cluster").isNotNull()).groupBy("cluster").agg(
         F.count(F.lit(1)).alias("n"),
-        F.array(*[F.avg(F.col("_v")[j]) for j in range(d)]).alias("centroid"),
+        vector_to_array(Summarizer.mean(F.col("_v"))).alias("centroid"),
         F.sum("_d2").alias("sse"))
 
 

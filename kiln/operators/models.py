@@ -70,7 +70,39 @@ def lasso(spec: FeatureSpec, reg: float = 0.1, elastic: float = 1.0,
                           scale=True)
 
 
+ROWS_PER_PARTITION = 200_000  # rows per partition handed to an iterative learner
+
+
+def right_sized(df: DataFrame, rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Partitions sized to the data for an iterative learner: each optimizer
+    iteration is a job over every partition, so a few thousand rows belong in
+    one task, while at scale the count grows with the data (capped by the
+    cluster's default parallelism only from below, never from above)."""
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    target = max(1, -(-rows // rows_per_partition))
+    if target < parallel and rows >= parallel * rows_per_partition:
+        target = parallel
+    return df.repartition(target)
+
+
 def fit_evaluate(pipeline: Pipeline, train: DataFrame, test: DataFrame):
-    """Fit on ``train`` only, return (model, scored ``test``)."""
-    model = pipeline.fit(train)
+    """Fit on ``train`` only, return (model, scored ``test``).
+
+    The feature stages are fitted first; their output for the training rows
+    is persisted (memory, spilling to disk) with right-sized partitions before
+    the learner's iterations start, so no iteration recomputes the features."""
+    from pyspark import StorageLevel
+    from pyspark.ml import PipelineModel
+    stages = pipeline.getStages()
+    feats = Pipeline(stages=stages[:-1]).fit(train)
+    learner = stages[-1]
+    cols = [learner.getLabelCol(), learner.getFeaturesCol()]
+    tr = feats.transform(train).select(*cols)
+    n = tr.count()
+    tr = right_sized(tr, n).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = learner.fit(tr)
+    finally:
+        tr.unpersist()
+    model = PipelineModel(stages=[feats, fitted])
     return model, model.transform(test)
