@@ -166,3 +166,15 @@ def q_sample_category(spark, sf_dir):
     e = _emb(spark, sf_dir)
     return e.select("vec_id", sample_category(F.slice("embedding", 1, N_SCORES), F.col("vec_id"),
                                               seed=3).alias("draw"))
+
+
+@query("copula_synth")
+def q_copula_synth(spark, sf_dir):
+    """G6 + G7: 100,000 synthetic rows of the first 4 embedding dims, classes
+    in proportion to the labels, each class from its own Gaussian copula
+    with empirical marginals."""
+    from kiln.operators.synth import sample_copula
+    e = _emb(spark, sf_dir)
+    src = e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"x{i}")
+                                        for i in range(D_CONT)])
+    return sample_copula(src, "vec_id", "label", [f"x{i}" for i in range(D_CONT)], 100_000, seed=0)

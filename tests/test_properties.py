@@ -113,3 +113,17 @@ def test_kmeans_nan_row_unassigned(spark):
     df = spark.createDataFrame([([float("nan")],), ([1.0],)], "v array<double>")
     got = [r["cluster"] for r in km.assign(df, "v", [[0.0], [2.0]]).collect()]
     assert None in got and 0 in got
+
+
+def test_copula_quotas_and_support(spark):
+    from kiln.operators import synth
+    rows = [(i, i % 3, float(i % 17), float((i * 7) % 11)) for i in range(300)]
+    src = spark.createDataFrame(rows, "id int, label int, a double, b double")
+    out = synth.sample_copula(src, "id", "label", ["a", "b"], 1000, seed=1)
+    got = {r["label"]: r["count"] for r in out.groupBy("label").count().collect()}
+    assert got == {0: 334, 1: 333, 2: 333}
+    src_vals = {(r["label"], r["a"], r["b"]) for r in src.collect()}
+    labs = {lab: ({v[1] for v in src_vals if v[0] == lab}, {v[2] for v in src_vals if v[0] == lab})
+            for lab in (0, 1, 2)}
+    for r in out.collect():
+        assert r["a"] in labs[r["label"]][0] and r["b"] in labs[r["label"]][1]
