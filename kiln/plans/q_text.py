@@ -181,3 +181,26 @@ def q_chunk_offsets(spark, sf_dir):
     ch = tx.chunk(d, "doc_id", "text", F.concat(F.lit(ANSWER_PREFIX), F.col("source")),
                   with_spans=True)
     return ch.select("sample_id", "chunk_index", "offset_start", "offset_end")
+
+
+@query("split_roundtrip", sql=_PROMPT_SQL.replace("FROM r\n", "FROM r WHERE rk <= floor(0.8 * n)\n", 1)
+       .replace("SELECT conv_id, turn, printf", "SELECT * FROM (SELECT conv_id, turn, printf", 1)
+       .rstrip() + ") AS t")
+def q_split_roundtrip(spark, sf_dir):
+    """S8 + S9 + S10 (+ S4): prompt pairs written as JSON records and as
+    parquet partitioned by split under the shared folder; the train split
+    read back with partition pruning, and the JSON copy re-read with an
+    explicit schema and checked to hold the same number of rows."""
+    import os
+
+    from kiln.session import shared_path
+    from kiln.sources.io import read_json, read_split, write_json, write_parquet
+    pairs = q_prompt_pairs(spark, sf_dir)
+    base = shared_path(spark, "prompt-splits")
+    write_parquet(pairs, os.path.join(base, "parquet"), partition_by=["split"])
+    write_json(pairs, os.path.join(base, "json"))
+    back = read_json(spark, os.path.join(base, "json"), pairs.schema)
+    if back.count() != spark.read.parquet(os.path.join(base, "parquet")).count():
+        raise RuntimeError("JSON and parquet copies differ in size")
+    train = read_split(spark, os.path.join(base, "parquet"), "train")
+    return train.select("conv_id", "turn", "prompt", "prompt_answer", "split")
