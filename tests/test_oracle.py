@@ -12,7 +12,8 @@ from kiln.sources.io import TABLES
 
 SF = "/root/testdata/sf0.001"
 SLOW_ROWS_ONLY = {"kmeans_ml", "microbatch_kmeans", "logreg", "mlp", "tree", "forest", "gbt",
-                  "lasso_fit", "penalty_variants", "nb_ml_metrics", "kmeans_loop", "copula_synth"}
+                  "lasso_fit", "penalty_variants", "nb_ml_metrics", "kmeans_loop", "copula_synth",
+                  "smote_balance"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 

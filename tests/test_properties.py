@@ -127,3 +127,40 @@ def test_copula_quotas_and_support(spark):
             for lab in (0, 1, 2)}
     for r in out.collect():
         assert r["a"] in labs[r["label"]][0] and r["b"] in labs[r["label"]][1]
+
+
+def test_grid_knn_matches_brute_force(spark):
+    """Exact kNN with duplicates (a hot location) and an isolated point."""
+    import random
+    from kiln.operators import neighbors as nb
+    rnd = random.Random(3)
+    rows = [(i, rnd.randint(0, 1), [rnd.random() * 10, rnd.random() * 10]) for i in range(150)]
+    rows += [(150 + i, i % 2, [5.0, 5.0]) for i in range(40)]          # 40 identical points
+    rows += [(999, 0, [100.0, 100.0])]                                 # far away
+    df = spark.createDataFrame(rows, "id long, label int, v array<double>")
+    got = nb.knn(df.where("label = 0"), df, "id", "v", "label", 4, first_class=1)
+    counts = {}
+    for r in got.collect():
+        counts.setdefault(r["qid"], [0, 0])[r["n_label"]] += r["take"]
+    for qid, ql, qv in rows:
+        if ql != 0:
+            continue
+        cand = sorted(((x[0] - qv[0]) ** 2 + (x[1] - qv[1]) ** 2, 0 if lab == 1 else 1, rid, lab)
+                      for rid, lab, x in rows if rid != qid)[:4]
+        want = [sum(1 for c in cand if c[3] == 0), sum(1 for c in cand if c[3] == 1)]
+        assert counts[qid] == want, qid
+
+
+def test_smote_balances_classes(spark):
+    import random
+    from kiln.operators import neighbors as nb
+    rnd = random.Random(5)
+    rows = [(i, 1, [rnd.gauss(0, 1), rnd.gauss(0, 1)]) for i in range(120)]
+    rows += [(1000 + i, 0, [rnd.gauss(0.5, 1), rnd.gauss(0.5, 1)]) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, label int, v array<double>")
+    syn = nb.borderline_smote(df, "id", "v", "label", 0, 1, k=2, m=5, seed=1).collect()
+    assert len(syn) == 90
+    xs = [r[0] for _, lab, r in rows if lab == 0]
+    ys = [r[1] for _, lab, r in rows if lab == 0]
+    for r in syn:
+        assert r["label"] == 0 and min(xs) <= r["v"][0] <= max(xs) and min(ys) <= r["v"][1] <= max(ys)
