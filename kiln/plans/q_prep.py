@@ -352,3 +352,38 @@ def q_seq_seed_slice(spark, sf_dir):
     steps within the slice starting at 0."""
     s = seq.seed_slice(note_events(spark, sf_dir), skip=25, n=25)
     return s.select("seq_id", "slice_pos", "pitch", "step", "duration")
+
+
+@query("binarise_flag", sql="""
+SELECT doc_id, CASE WHEN lower(trim(lang)) = 'en' THEN 1 ELSE 0 END AS is_en FROM documents
+""")
+def q_binarise_flag(spark, sf_dir):
+    """``trim(lower(x)) == 'en'`` as 0/1 (numeric fallback when no row of
+    the column holds the text value)."""
+    from kiln.operators.clean import binarise
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "lang"])
+    return binarise(d, "lang", "en", "is_en").select("doc_id", "is_en")
+
+
+@query("csv_lines_roundtrip", sql="""
+SELECT event_id, user_id, event_type, value, event_id AS line_event_id, value AS line_value FROM events
+""")
+def q_csv_lines_roundtrip(spark, sf_dir):
+    """S7 + S3 + S2 + P1: events written as CSV with a header under the shared
+    folder, read back twice -- as CSV with an explicit schema, and as raw text
+    lines split and typed by position (the header line parses to nulls and
+    is dropped) -- and joined on the id."""
+    import os
+
+    from kiln.session import shared_path
+    from kiln.sources.io import read_csv, read_lines
+    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "value"])
+    path = os.path.join(shared_path(spark, "events-csv"), "csv")
+    ev.write.mode("overwrite").option("header", True).csv(path)
+    typed = read_csv(spark, path, "event_id bigint, user_id bigint, event_type string, value double",
+                     multiline=False)
+    lines = read_lines(spark, path).select(*split_fields(
+        "value", ",", ["line_event_id", "line_user_id", "line_type", "line_value"]))
+    lines = drop_nulls(lines, ["line_event_id"]).select(
+        F.col("line_event_id").cast("bigint").alias("line_event_id"), "line_value")
+    return typed.join(lines, typed.event_id == lines.line_event_id)
