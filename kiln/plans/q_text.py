@@ -204,3 +204,33 @@ def q_split_roundtrip(spark, sf_dir):
         raise RuntimeError("JSON and parquet copies differ in size")
     train = read_split(spark, os.path.join(base, "parquet"), "train")
     return train.select("conv_id", "turn", "prompt", "prompt_answer", "split")
+
+
+# ---- fixed value: the phrase joining a question and its context ----------
+CONTEXT_JOINER = " Use the follwing information when solving: "
+# ---------------------------------------------------------------------------
+
+
+@query("prompt_context_intended", sql=f"""
+WITH s AS (SELECT conv_id, arg_min(text, turn) AS context FROM conversations WHERE role = 'system' GROUP BY conv_id),
+u AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'user')
+SELECT u.conv_id, u.turn,
+  regexp_replace(regexp_replace(
+    CASE WHEN s.context IS NOT NULL AND s.context <> '' THEN u.text || {_sql_str(CONTEXT_JOINER)} || s.context
+         ELSE u.text END,
+    '\\n\\n!\\[\\]\\(.*?\\)', '', 'g'), '<.*?>', '', 'g') AS question
+FROM u LEFT JOIN s USING (conv_id)
+""")
+def q_prompt_context_intended(spark, sf_dir):
+    """X7 (intended mode, trap 7): the question joined with its context -- the
+    conversation's first system turn -- when one is present, then images and
+    tags stripped from the combined text. The context table has one row per
+    conversation; the join is on the conversation id."""
+    from kiln.functions.strings import join_if_present
+    c = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    ctx = c.where(F.col("role") == "system").groupBy("conv_id").agg(
+        F.min(F.struct("turn", "text")).alias("_s")).select("conv_id", F.col("_s.text").alias("context"))
+    u = c.where(F.col("role") == "user").select("conv_id", "turn", "text")
+    j = u.join(ctx, "conv_id", "left")
+    return j.select("conv_id", "turn",
+                    strip_markup(join_if_present("text", "context", CONTEXT_JOINER)).alias("question"))
