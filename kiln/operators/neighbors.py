@@ -106,7 +106,12 @@ def knn(queries: DataFrame, refs: DataFrame, id_col: str, vec: str, label: str,
         pending = nxt
         if left == 0:
             break
-        h *= 2.0
+        # Unresolved queries that already have k candidates need a block whose
+        # half-width reaches their k-th distance: jump there rather than
+        # doubling step by step (one tiny aggregate over per-query stats).
+        need = per_q.where(F.col("_got") >= k).join(nxt.select("_qid"), "_qid", "left_semi") \
+            .agg(F.max(F.sqrt("_dk"))).first()[0]
+        h = max(2.0 * h, float(need) if need is not None else 0.0)
     pending.unpersist()
     out = results[0]
     for r in results[1:]:
