@@ -164,3 +164,46 @@ def test_smote_balances_classes(spark):
     ys = [r[1] for _, lab, r in rows if lab == 0]
     for r in syn:
         assert r["label"] == 0 and min(xs) <= r["v"][0] <= max(xs) and min(ys) <= r["v"][1] <= max(ys)
+
+
+def test_kmeans_patience_keeps_best(spark):
+    """With patience the loop stops once SSE stops improving and keeps
+    the best state seen."""
+    rows = [([float(i % 7), float((i * 3) % 5)],) for i in range(60)]
+    df = spark.createDataFrame(rows, "v array<double>")
+    res = km.fit(df, "v", [[0.0, 0.0], [6.0, 4.0]], max_iter=30, tol=0.0, change_tol=-1.0,
+                 patience=1, min_delta=1e9)
+    assert res.rounds == 2 and len(res.sse) == 2
+
+
+def _notes(spark, lengths):
+    rows, eid = [], 0
+    for seq, n in enumerate(lengths):
+        for i in range(n):
+            rows.append((seq, float(i * i) * 0.5, 0.25, "p", eid))
+            eid += 1
+    return spark.createDataFrame(rows, "seq_id int, start double, duration double, pitch string, event_id int")
+
+
+def test_seed_slice_short_sequences_w5(spark):
+    from kiln.operators import sequence as seq
+    notes = _notes(spark, [60, 30, 10])      # long, shorter than skip+n, shorter than skip
+    s = seq.seed_slice(notes, skip=25, n=25).collect()
+    per = {}
+    for r in s:
+        per.setdefault(r["seq_id"], []).append(r)
+    assert len(per[0]) == 25 and len(per[1]) == 5 and len(per[2]) == 10
+    for rs in per.values():
+        first = min(rs, key=lambda r: r["slice_pos"])
+        assert first["slice_pos"] == 1 and first["step"] == 0.0
+
+
+def test_running_time_restores_starts_w1_w4(spark):
+    from kiln.operators import sequence as seq
+    notes = _notes(spark, [40, 3])
+    steps = seq.steps(notes, q_step=0.125, q_duration=0.125)
+    back = {(r["seq_id"], r["pos"]): r["abs_start"] for r in seq.running_time(steps).collect()}
+    for r in notes.collect():
+        pos = r["event_id"] - (0 if r["seq_id"] == 0 else 40) + 1
+        if pos > 1:   # start relative to the sequence's first note
+            assert back[(r["seq_id"], pos)] == pytest.approx(r["start"])
