@@ -37,9 +37,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only when the
-    session has none (local tests). On a cluster the setting comes from the
-    cluster configuration and is used as is."""
+    """Return the shared checkpoint folder. On a cluster it comes from
+    ``spark.checkpoint.dir`` and is required; only a local-mode session
+    without the setting (tests, bench) gets a scratch folder."""
     conf = spark.conf.get("spark.checkpoint.dir", None)
     sc_dir = spark.sparkContext.getCheckpointDir()
     if sc_dir:
@@ -47,7 +47,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         spark.sparkContext.setCheckpointDir(conf)
         return spark.sparkContext.getCheckpointDir() or conf
-    scratch = tempfile.mkdtemp(prefix="kiln-ckpt-")
+    master = spark.sparkContext.master or ""
+    if not master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage: model tables, "
+                           "neighbour rounds and streaming state are written there")
+    scratch = tempfile.mkdtemp(prefix="kiln-ckpt-")   # local mode only (tests, bench)
     spark.conf.set("spark.checkpoint.dir", scratch)
     spark.sparkContext.setCheckpointDir(scratch)
     return spark.sparkContext.getCheckpointDir() or scratch
