@@ -17,7 +17,11 @@ from pyspark.sql import functions as F
 
 from kiln.operators.ordered import ordered_scan
 
-HEX_BUCKET_CHARS = 3  # 16**3 = 4096 order-preserving buckets of the hash
+# 16**5 = 1,048,576 order-preserving buckets of the hash: about a million rows
+# per window task at 10**12 rows, while the per-bucket offsets table (at most
+# that many rows of three numbers) stays small.
+HEX_BUCKET_CHARS = 5
+ID_BUCKETS = 1 << 20
 
 
 def _c(col: Column | str) -> Column:
@@ -66,7 +70,7 @@ def hash_rank(df: DataFrame, id_col: str, seed: int | None = None,
     return out.drop("_h")
 
 
-def id_range_bucket(df: DataFrame, id_col: str, buckets: int = 4096) -> Column:
+def id_range_bucket(df: DataFrame, id_col: str, buckets: int = ID_BUCKETS) -> Column:
     """An id-range bucket, non-decreasing in the id (bounds from one min/max
     aggregate)."""
     lo, hi = df.agg(F.min(id_col), F.max(id_col)).first()
@@ -78,7 +82,7 @@ def id_range_bucket(df: DataFrame, id_col: str, buckets: int = 4096) -> Column:
 
 def id_rank(df: DataFrame, id_col: str, partition_by: Sequence[str] = (),
             rank_col: str = "_rank", size_col: str | None = "_n",
-            buckets: int = 4096) -> DataFrame:
+            buckets: int = ID_BUCKETS) -> DataFrame:
     """Position in id order (``zipWithIndex`` / ``reset_index``)."""
     return global_rank(df, [F.col(id_col)], id_range_bucket(df, id_col, buckets),
                        partition_by, rank_col, size_col)
