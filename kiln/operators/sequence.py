@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from kiln.functions.numeric import clip_max, quantise
 from kiln.operators.ordered import ordered_scan
 
-DEFAULT_BUCKET_SECONDS = 3600.0
+DEFAULT_BUCKET_SECONDS = 60.0  # one-minute buckets: a very long sequence is spread over many tasks
 CHUNK_POSITIONS = 4096
 
 
