@@ -144,13 +144,25 @@ def sample_k(df: DataFrame, id_col: str, k: int, seed: int = 0) -> DataFrame:
             .orderBy("_h", id_col).limit(k).drop("_h"))
 
 
-def dedup_keep_first(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
+def dedup_keep_first(df: DataFrame, keys: Sequence[str], id_col: str,
+                     max_broadcast_rows: int = 5_000_000) -> DataFrame:
     """Per key (nulls equal), keep the row with the smallest id.
-    The first id per key is an aggregate (partial per task, so a key
-    repeated a billion times costs one row per task), joined back on the
-    unique id, never on the possibly hot key."""
-    firsts = df.groupBy(*keys).agg(F.min(id_col).alias(id_col))
-    return df.join(firsts.select(id_col), id_col, "left_semi")
+
+    Exact, without shuffling every key: a first pass groups only a 64-bit
+    hash of the key (partial aggregate, so a key repeated a billion times
+    costs one row per task); only rows whose hash occurs more than once are
+    compared on the full key (hash collisions are resolved there). The ids
+    to drop -- all but the first of each duplicate key -- are written to the
+    shared folder; they are removed by an anti join that is broadcast when
+    their counted number is small, else a shuffle join on the unique id."""
+    from kiln.session import materialize
+    hashed = df.select(id_col, *keys).withColumn("_h", F.xxhash64(*keys))
+    shared = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1).select("_h")
+    cand = hashed.join(shared, "_h", "left_semi").drop("_h")   # AQE broadcasts `shared` when small
+    firsts = cand.groupBy(*keys).agg(F.min(id_col).alias(id_col))
+    drop = materialize(cand.select(id_col).join(firsts.select(id_col), id_col, "left_anti"), "dedup-drop")
+    n_drop = drop.count()
+    return df.join(F.broadcast(drop) if n_drop <= max_broadcast_rows else drop, id_col, "left_anti")
 
 
 def largest_remainder(counts: DataFrame, key: str, n_col: str, total: int,
