@@ -44,7 +44,7 @@ def _cell(v, h: float):
 
 def knn(queries: DataFrame, refs: DataFrame, id_col: str, vec: str, label: str, k: int,
         first_class=None, exclude_self: bool = True, start_cell: float | None = None,
-        target_per_cell: float = 8.0, max_rounds: int = 40) -> DataFrame:
+        target_per_cell: float = 8.0, max_cell_groups: int = 4096, max_rounds: int = 60) -> DataFrame:
     """For each query (id_col, vec[, label]) the k nearest reference units,
     excluding the query itself when ``exclude_self`` (the query must then be a
     reference row with the same id). Output rows: (qid, n_vec, n_label, take,
@@ -64,6 +64,15 @@ def knn(queries: DataFrame, refs: DataFrame, id_col: str, vec: str, label: str,
     n = int(ext[2 * d] or 0)
     h = start_cell or (math.prod(spans) * target_per_cell / max(n, 1)) ** (1.0 / d)
     h = max(h, max(spans) / 1e6)
+    # Bound the work per query: shrink cells until no cell holds more than
+    # ``max_cell_groups`` groups (distinct locations; exact duplicates are one
+    # group already), so a query sees at most 3^d * max_cell_groups groups in
+    # its first round. Smaller cells never lose exactness: ring growth widens.
+    for _ in range(30):
+        top = groups.groupBy(_cell(F.col("_gv"), h).alias("_c")).count().agg(F.max("count")).first()[0]
+        if top is None or top <= max_cell_groups:
+            break
+        h /= 2.0
     offsets = F.array(*[F.array(*[F.lit(o).cast("bigint") for o in off])
                         for off in itertools.product((-1, 0, 1), repeat=d)])
     pending = q.persist(StorageLevel.MEMORY_AND_DISK)

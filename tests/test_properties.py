@@ -207,3 +207,23 @@ def test_running_time_restores_starts_w1_w4(spark):
         pos = r["event_id"] - (0 if r["seq_id"] == 0 else 40) + 1
         if pos > 1:   # start relative to the sequence's first note
             assert back[(r["seq_id"], pos)] == pytest.approx(r["start"])
+
+
+def test_grid_knn_dense_cluster_bounded(spark):
+    """A dense cluster of distinct points forces smaller cells; still exact."""
+    import random
+    from kiln.operators import neighbors as nb
+    rnd = random.Random(11)
+    rows = [(i, i % 2, [rnd.random() * 0.01, rnd.random() * 0.01]) for i in range(200)]   # dense
+    rows += [(500 + i, i % 2, [rnd.random() * 100, rnd.random() * 100]) for i in range(50)]  # sparse
+    df = spark.createDataFrame(rows, "id long, label int, v array<double>")
+    got = nb.knn(df.where("label = 0"), df, "id", "v", "label", 3, first_class=1, max_cell_groups=16)
+    counts = {}
+    for r in got.collect():
+        counts.setdefault(r["qid"], [0, 0])[r["n_label"]] += r["take"]
+    for qid, ql, qv in rows:
+        if ql != 0:
+            continue
+        cand = sorted(((x[0] - qv[0]) ** 2 + (x[1] - qv[1]) ** 2, 0 if lab == 1 else 1, rid, lab)
+                      for rid, lab, x in rows if rid != qid)[:3]
+        assert counts[qid] == [sum(1 for c in cand if c[3] == 0), sum(1 for c in cand if c[3] == 1)]
