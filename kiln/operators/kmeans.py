@@ -46,16 +46,14 @@ def nearest_distance_of(vec: Column | str, cents: Column | str) -> Column:
 
 def with_centroids(df: DataFrame, centroids: Sequence[Sequence[float]],
                    col: str = "_cents") -> DataFrame:
-    """Attach the k centroids (one ``array<array<double>>`` value) to every row
-    through a broadcast of a one-row table. The size is checked (k*d values);
-    the generated code does not depend on the values, so an iterative loop
-    reuses compiled code from round to round."""
+    """Attach the k centroids to every row as one constant ``array<array<double>>``
+    value (size checked: k*d values). A constant array is kept out of the
+    generated code, so an iterative loop compiles the same code each round."""
     cells = sum(len(c) for c in centroids)
     if cells > MAX_CENTROID_CELLS:
         raise ValueError(f"k*d = {cells} centroid values exceed {MAX_CENTROID_CELLS}")
-    one = df.sparkSession.createDataFrame(
-        [(0, [list(map(float, c)) for c in centroids])], f"_k int, {col} array<array<double>>")
-    return df.withColumn("_k", F.lit(0)).join(F.broadcast(one), "_k").drop("_k")
+    value = F.lit([[float(v) for v in c] for c in centroids]).cast("array<array<double>>")
+    return df.withColumn(col, value)
 
 
 def nearest(vec: Column | str, centroids: Sequence[Sequence[float]]) -> Column:

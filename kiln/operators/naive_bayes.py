@@ -36,17 +36,14 @@ def spam_word_ratio(features: DataFrame, rows: DataFrame, label: str = "label",
     row per example, which gives the class sizes (rows with no feature count).
     """
     is_pos, is_neg = F.col(label) == positive, F.col(label) == negative
-    # Class sizes: a one-row table, joined to every word as a lookup on a
-    # constant key. A class with no rows gives a null mean, so null ratios.
-    sizes = rows.agg(F.count_if(is_pos).alias("n_pos"),
-                     F.count_if(is_neg).alias("n_neg")).withColumn("_k", F.lit(0))
+    # Class sizes: one row of two numbers, collected and applied as literals.
+    # A class with no rows gives a null mean, so null ratios.
+    n_pos, n_neg = rows.agg(F.count_if(is_pos), F.count_if(is_neg)).first()
     by_word = (features.groupBy("word").agg(
         F.coalesce(F.sum(F.when(is_pos, F.col("x"))), F.lit(0.0)).alias("s_pos"),
         F.coalesce(F.sum(F.when(is_neg, F.col("x"))), F.lit(0.0)).alias("s_neg"))
-        .withColumn("_k", F.lit(0))
-        .join(F.broadcast(sizes), "_k")
-        .select("word", F.try_divide("s_pos", "n_pos").alias("pos_freq"),
-                F.try_divide("s_neg", "n_neg").alias("neg_freq")))
+        .select("word", F.try_divide("s_pos", F.lit(n_pos or None).cast("bigint")).alias("pos_freq"),
+                F.try_divide("s_neg", F.lit(n_neg or None).cast("bigint")).alias("neg_freq")))
     ratios = (by_word.where(F.col("neg_freq") > 0)
               .withColumn("ratio", F.col("pos_freq") / F.col("neg_freq")))
     ranked = ratios.withColumn("_rk", F.round("ratio", 9))
