@@ -36,8 +36,8 @@ items AS (SELECT doc_id, len(s) AS n, unnest(s) AS sh FROM sets),
 links AS (
   SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.sh = b.sh AND a.doc_id < b.doc_id
   GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach(a, b) AS (SELECT a, b FROM both UNION SELECT r.a, e.b FROM reach r JOIN both e ON r.b = e.a)
+sym AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM sym UNION SELECT r.a, e.b FROM reach r JOIN sym e ON r.b = e.a)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(min(r.b), s.doc_id)) AS component_id,
        s.doc_id = least(s.doc_id, coalesce(min(r.b), s.doc_id)) AS kept
 FROM sets s LEFT JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, len(s.s)
