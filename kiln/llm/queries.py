@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import phrase_index, setsketch
+from kiln.llm import phrase_index, setsketch, warc
 from kiln.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,25 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+# -- 1 -----------------------------------------------------------------------
+
+OP1_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha256(h) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+       CASE WHEN f.first_id IS NULL OR f.first_id = d.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f.first_id <> d.page_id THEN f.first_id END AS refers_to
+FROM d LEFT JOIN f ON f.payload_digest = d.payload_digest AND d.payload_bytes >= 100
+"""
+
+
+@query("op1_warc_dictionary", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 # -- 8 -----------------------------------------------------------------------
 
 OP8_SQL = r"""
