@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import phrase_index, setsketch, warc
+from kiln.llm import mixing, phrase_index, ring, setsketch, warc
 from kiln.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,60 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+# -- 4 -----------------------------------------------------------------------
+
+@query("op4_ring_shards")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ring.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+# -- 7 -----------------------------------------------------------------------
+
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+k AS (SELECT *, ('0x' || substr(md5('mix7|' || coalesce(doc_id::VARCHAR, '') || '|' || size), 1, 15))::BIGINT AS key FROM d),
+s AS (SELECT source, sum(size)::BIGINT AS words, count(*) AS n,
+             [5.0::DOUBLE, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w,
+             row_number() OVER (ORDER BY source NULLS LAST) AS i, count(*) OVER () AS n_sources FROM d GROUP BY source),
+c AS (SELECT *, sum(words) OVER ()::DOUBLE - coalesce(sum(3 * words) OVER (ORDER BY 3 * words / w, i
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS rest_words,
+             sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY 3 * words / w, i
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest_w, 3 * words / w AS r FROM s),
+f AS (SELECT min((r, i)) AS first_free, arg_min(rest_words, (r, i)) AS free_words, arg_min(rest_w, (r, i)) AS free_w
+      FROM c WHERE 3 * words * rest_w > rest_words * w),
+t AS (SELECT c.source, c.words, c.n, c.n_sources,
+             CASE WHEN f.first_free IS NULL OR (c.r, c.i) < f.first_free THEN 3.0::DOUBLE * c.words ELSE f.free_words * c.w / f.free_w END AS target
+      FROM c CROSS JOIN f),
+q AS (SELECT *, CASE WHEN words = 0 THEN 0 ELSE floor(target + 0.5)::BIGINT // words END AS epochs,
+             CASE WHEN words = 0 THEN 0 ELSE floor(target + 0.5)::BIGINT % words END AS rest,
+             least(greatest(1, least(65536, 100000000 // (3 * n_sources))), (n + 255) // 256) AS blocks FROM t),
+b AS (SELECT k.*, q.words AS source_size, q.target, q.epochs, q.rest,
+             ((k.key::HUGEINT * q.blocks) >> 60)::BIGINT AS block FROM k JOIN q ON k.source IS NOT DISTINCT FROM q.source),
+bs AS (SELECT source, block, any_value(rest) AS rest, sum(size) AS words FROM b GROUP BY source, block),
+bc AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY block) AS cum FROM bs),
+e AS (SELECT source, min(block) AS end_block, arg_min(rest - cum + words, block) AS need FROM bc
+      WHERE rest > 0 AND cum >= rest AND cum - words < rest GROUP BY source),
+ins AS (SELECT b.source, b.key, e.need, sum(b.size) AS words FROM b JOIN e ON b.source IS NOT DISTINCT FROM e.source AND b.block = e.end_block
+        GROUP BY b.source, b.key, e.need),
+ic AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY key) AS cum FROM ins),
+cut AS (SELECT source, need, max(key) FILTER (cum <= need) AS last_key, coalesce(max(cum) FILTER (cum <= need), 0) AS got
+        FROM ic GROUP BY source, need),
+ex AS (SELECT ic.source, arg_min(ic.key, (abs(ic.need - cut.got - ic.words), ic.key)) AS extra_key
+       FROM ic JOIN cut ON ic.source IS NOT DISTINCT FROM cut.source
+       WHERE ic.cum > ic.need AND abs(ic.need - cut.got - ic.words) < ic.need - cut.got GROUP BY ic.source)
+SELECT b.doc_id, b.size, b.source_size, b.target,
+       (b.size * (b.epochs + CASE WHEN b.block < e.end_block OR (b.block = e.end_block AND
+          (coalesce(b.key <= cut.last_key, false) OR coalesce(b.key = ex.extra_key, false))) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM b LEFT JOIN e ON b.source IS NOT DISTINCT FROM e.source
+LEFT JOIN cut ON b.source IS NOT DISTINCT FROM cut.source LEFT JOIN ex ON b.source IS NOT DISTINCT FROM ex.source
+"""
+
+
+@query("op7_source_mix", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
 # -- 8 -----------------------------------------------------------------------
 
 OP8_SQL = r"""
