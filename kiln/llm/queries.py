@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import mixing, phrase_index, ring, setsketch, warc
+from kiln.llm import mixing, phrase_index, ring, setsketch, syncmers, warc
 from kiln.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = F.concat_ws(",", "items")
     return found.select("doc_id", "n_words", "n_hit", "n_items",
                         F.sha2(ids.cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+# -- 10 ----------------------------------------------------------------------
+
+@query("op10_syncmer_fingerprints")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
