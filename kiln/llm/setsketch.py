@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm.components import connected_components
+from kiln.llm.frames import bounded_broadcast
 from kiln.llm.textops import (ASCII_LOWER, mix64, seeded, slices, span_hashes, utf8_buffer,
                               word_spans)
 from kiln.session import materialize
@@ -191,12 +192,19 @@ def _plausible(pairs: DataFrame, reps: DataFrame) -> DataFrame:
         .mapInArrow(_estimate, "a long, b long")
 
 
+def _sets_of(ids: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """(id, shingles) of the given documents, as a written table. The ids, not
+    the texts, travel while their measured size allows a broadcast."""
+    ids = bounded_broadcast(materialize(ids, f"{name}-ids"), row_bytes=16)
+    return materialize(docs.join(ids, "doc_id", "left_semi")
+                       .mapInArrow(_set_batches, "id long, shingles array<long>"), f"{name}-sets")
+
+
 def _confirmed(plausible: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     """Pairs of a written table whose full shingle sets reach the threshold,
     as a written table."""
     ids = plausible.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(_set_batches, "id long, shingles array<long>")
-    sets = materialize(sets, f"{name}-sets")
+    sets = _sets_of(ids, docs, name)
     both = F.size(F.array_intersect("set_a", "set_b"))
     links = plausible.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a") \
         .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b") \
