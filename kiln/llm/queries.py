@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import mixing, phrase_index, ring, setsketch, syncmers, warc
+from kiln.llm import (langid, mixing, ordinal, phrase_index, ring, setsketch, syncmers, toxicity,
+                      warc)
 from kiln.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +44,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+# -- 3 -----------------------------------------------------------------------
+
+@query("op3_toxicity_subword")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents", "doc_id", "text"),
+                             table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 # -- 4 -----------------------------------------------------------------------
 
 @query("op4_ring_shards")
@@ -50,6 +59,24 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+# -- 5 -----------------------------------------------------------------------
+
+@query("op5_ordinal_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: 0 poor, 1 good but toxic, 2 good."""
+    grades = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic").select(
+        "doc_id", F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, F.when(F.col("toxic") == 1, 1).otherwise(2))
+        .alias("grade"))
+    return ordinal.quality(table(spark, sf_dir, "documents", "doc_id", "text"), grades)
+
+
+# -- 6 -----------------------------------------------------------------------
+
+@query("op6_language_nb")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 # -- 7 -----------------------------------------------------------------------
 
 OP7_SQL = r"""
