@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import (langid, mixing, ordinal, phrase_index, ring, setsketch, syncmers, toxicity,
-                      warc)
+from kiln.llm import (langid, mixing, ordinal, phrase_index, ring, secrets, setsketch, syncmers,
+                      toxicity, warc)
 from kiln.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+# -- 2 -----------------------------------------------------------------------
+
+@query("op2_secret_novelty")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 # -- 3 -----------------------------------------------------------------------
 
 @query("op3_toxicity_subword")
