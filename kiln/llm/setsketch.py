@@ -15,8 +15,9 @@ Work stays linear in the size of a group of copies:
 * each band bucket first meets only its hub (its smallest id); confirmed links
   are merged into components;
 * only buckets whose members still lie in several components are looked at
-  again: their members are compared by sketch in blocks inside tasks, across
-  components only, and just the plausible pairs leave the task.
+  again: their members are compared in blocks inside tasks, across components
+  only, by sketch and then by their smallest shingle hashes (a small set
+  entirely, so exactly), and just the close pairs leave the task.
 
 With ``BANDS`` bands of 4 registers a pair at similarity 0.75 shares no band
 with probability about 5e-6; nothing is capped or sampled."""
@@ -44,6 +45,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE = 1.005, 20.0           # spacing of the levels, rate of the exponential values
 SLACK = 0.17                       # estimates below threshold - SLACK are dropped (> 4 sigma)
 BLOCK = 1024                       # bucket members per block of the second look
+SAMPLE = 256                       # smallest shingle hashes that members bring to it: all of a small set
+SAMPLE_SLACK = 0.12                # where one is a sample, its estimate may fall short by this (> 4 sigma)
 
 _MULT = seeded(REGISTERS, 11) | np.uint64(1)
 _ADD = seeded(REGISTERS, 12)
@@ -213,6 +216,27 @@ def _confirmed(plausible: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     return materialize(links.select("a", "b"), f"{name}-links")
 
 
+def sampled_close(small: np.ndarray, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For pairs of rows (x, y) of ``small`` (the smallest hashes of each set,
+    ascending, padded with the maximum): exact threshold where both sets are
+    wholly there, else whether the estimate from the hashes that both samples
+    cover comes within ``SAMPLE_SLACK`` of it."""
+    out = np.zeros(len(x), bool)
+    pad = np.iinfo(np.uint64).max
+    for at in range(0, len(x), 4096):
+        i, j = x[at:at + 4096], y[at:at + 4096]
+        a, b = small[i], small[j]
+        cut = np.minimum(np.where(n[i] > SAMPLE, a[:, -1], pad), np.where(n[j] > SAMPLE, b[:, -1], pad))[:, None]
+        n_a, n_b = ((a <= cut) & (a < pad)).sum(axis=1), ((b <= cut) & (b < pad)).sum(axis=1)
+        both = np.sort(np.concatenate([np.where(a <= cut, a, pad), np.where(b <= cut, b, pad)], axis=1), axis=1)
+        shared = ((both[:, 1:] == both[:, :-1]) & (both[:, 1:] < pad)).sum(axis=1)
+        union = n_a + n_b - shared
+        whole = (n[i] <= SAMPLE) & (n[j] <= SAMPLE)
+        out[at:at + 4096] = np.where(whole, 100 * shared >= MIN_PERCENT * union,
+                                     shared >= (MIN_PERCENT / 100 - SAMPLE_SLACK) * union)
+    return out
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Plausible pairs between blocks of open buckets. Rows arrive sorted by
     (bucket, meeting); one meeting holds at most two blocks."""
@@ -224,6 +248,11 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sk = _unpack(t["sketch"].chunk(0) if isinstance(t["sketch"], pa.ChunkedArray) else t["sketch"])
         bands = sk.view(np.int64)
         band = t["band"][0].as_py()
+        flat = t["sample"].chunk(0) if isinstance(t["sample"], pa.ChunkedArray) else t["sample"]
+        lengths = np.diff(flat.offsets.to_numpy())
+        small = np.full((len(lengths), SAMPLE), np.iinfo(np.uint64).max, np.uint64)
+        small[np.arange(SAMPLE) < lengths[:, None]] = \
+            flat.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
         # at least this many equal registers at the level, whatever the sizes (4 more sigma to spare)
         equal_least = int(REGISTERS * (MIN_PERCENT / 100 - SLACK) * 0.9)
         left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
@@ -241,7 +270,9 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, y = x[once], y[once]
             more, less = (sk[x] > sk[y]).sum(axis=1), (sk[x] < sk[y]).sum(axis=1)
             near = comes_near(more, less, n[x], n[y])
-            out.append(np.stack([ids[x[near]], ids[y[near]]]))
+            x, y = x[near], y[near]
+            close = sampled_close(small, x, y, n)
+            out.append(np.stack([ids[x[close]], ids[y[close]]]))
         both = np.sort(np.concatenate(out, axis=1), axis=0)
         if not both.shape[1]:
             return None
@@ -303,7 +334,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("bucket", "band", "rep", "hub", "size", F.coalesce("component", "rep").alias("component"))
     spread = placed.where("rep <> hub").groupBy("bucket") \
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    fresh = materialize(_plausible_across(placed, spread, reps).distinct()
+    opened = materialize(placed.join(spread.select("bucket"), "bucket", "left_semi"), "opened")
+    small = _sets_of(opened.select(F.col("rep").alias("doc_id")).distinct(), docs, "opened") \
+        .select(F.col("id").alias("rep"), F.slice("shingles", 1, SAMPLE).alias("sample"))
+    fresh = materialize(_plausible_across(opened, reps, small).distinct()
                         .join(tested, ["a", "b"], "left_anti"), "open-pairs")
     extra = _confirmed(fresh, docs, "open")
 
@@ -315,18 +349,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _plausible_across(placed: DataFrame, spread: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of different components inside open buckets, compared by sketch
-    in blocks of ``BLOCK`` members; a bucket of one block is one meeting, a
-    larger one has a meeting for every two blocks."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    opened = placed.join(spread.select("bucket"), "bucket", "left_semi") \
-        .withColumn("blocks", blocks) \
+def _plausible_across(opened: DataFrame, reps: DataFrame, small: DataFrame) -> DataFrame:
+    """Pairs of different components inside open buckets, compared in blocks of
+    ``BLOCK`` members, by sketch and then by their smallest shingle hashes; a
+    bucket of one block is one meeting, a larger one has a meeting for every
+    two blocks."""
+    opened = opened.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")) \
         .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    k = F.sequence(F.lit(0), F.col("blocks") - 1)
-    meet = opened.withColumn("other", F.explode(k)) \
+    meet = opened.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                 "band", "block", "rep", "component")
-    full = meet.join(reps, "rep").select("bucket", "i", "j", "band", "block", "rep", "component", "n_shingles", "sketch")
+    full = meet.join(reps, "rep").join(small, "rep") \
+        .select("bucket", "i", "j", "band", "block", "rep", "component", "n_shingles", "sketch", "sample")
     return full.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "rep") \
         .mapInArrow(_across, "a long, b long")
