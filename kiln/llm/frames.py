@@ -44,3 +44,11 @@ def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
     if n <= rows:
         return df
     return df.where(key < F.lit(int(rows / n * (1 << 60))))
+
+
+def fresh_name(df: DataFrame, base: str) -> str:
+    """``base``, with underscores until no column of ``df`` has that name."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base

@@ -80,14 +80,15 @@ def split_quotas(blocks: Sequence[int], shards: int, seed: int) -> np.ndarray:
 
 def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, shards: int = OUT_SHARDS,
          seed: int = 7, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
-    """``docs`` with _size, _source_size, _target and _shards: the output
-    shard of every time the row is drawn (empty: not drawn).
+    """Per row of ``docs``: _row (its columns), _size, _source_size, _target
+    and _shards: the output shard of every time it is drawn (empty: not drawn).
 
     A null text has no words and is never drawn; a null source is a source of
     its own, last in order. Rows that repeat key and size are drawn alike."""
-    sized = docs.withColumn("_size", word_count(F.col(text))) \
-        .withColumn("_key", hash60(f"mix{seed}", F.col(key), F.col("_size")))
-    slim = materialize(sized.select(F.col(source).alias("_source"), "_size", "_key"), "mix-sizes")
+    sized = docs.select(F.struct(*docs.columns).alias("_row"), F.col(source).alias("_source"),
+                        word_count(F.col(text)).alias("_size")) \
+        .withColumn("_key", hash60(f"mix{seed}", F.col("_row")[key], F.col("_size")))
+    slim = materialize(sized.select("_source", "_size", "_key"), "mix-sizes")
     stats = slim.groupBy("_source").agg(F.sum("_size").alias("words"), F.count(F.lit(1)).alias("rows")) \
         .orderBy(F.col("_source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect()
     if len(stats) > MAX_SOURCES:
@@ -143,7 +144,7 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, shards: int = OUT_
             for i, (s, size, t, epochs, _, blocks) in enumerate(rows)]
     table = spark.createDataFrame(full, "_source string, _source_size long, _target double, epochs long, blocks long, "
                                         "end_block long, last_key long, extra_key long, dealt array<long>")
-    out = with_source(sized.withColumn("_source", F.col(source)), table).withColumn("_block", block())
+    out = with_source(sized, table).withColumn("_block", block())
     # boundary keys are null where a source has no partly drawn epoch or no such row
     partly = F.coalesce(
         (F.col("_block") < F.col("end_block"))
@@ -154,8 +155,7 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, shards: int = OUT_
     seq = F.slice(F.sequence(F.lit(0), F.lit(MAX_EPOCHS)), 1, times)
     shard = F.transform(seq, lambda e: F.size(F.filter(
         "dealt", lambda d: d <= e * F.col("blocks") + F.col("_block"))))
-    return out.withColumn("_shards", shard) \
-        .drop("_key", "_block", "epochs", "blocks", "end_block", "last_key", "extra_key", "dealt", "_source")
+    return out.select("_row", "_size", "_source_size", "_target", shard.alias("_shards"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -166,12 +166,12 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     p = plan(docs, **options)
     drawn = p.withColumn("_draw", F.explode(F.transform("_shards", lambda s, i: F.struct(s.alias("shard"), i.alias("n")))))
     return drawn.repartition(shards, F.col("_draw.shard")) \
-        .sortWithinPartitions(F.col("_draw.shard"), F.xxhash64(F.lit("local"), F.col(key), F.col("_draw.n"))) \
-        .select(*docs.columns)
+        .sortWithinPartitions(F.col("_draw.shard"), F.xxhash64(F.lit("local"), F.col("_row")[key], F.col("_draw.n"))) \
+        .select("_row.*")
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
     """Per row: doc_id, size, source_size, target of its source, words taken."""
-    p = plan(docs, **options)
-    return p.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
+    p = plan(docs.select("doc_id", "text", "source"), **options)
+    return p.select("_row.doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
                     F.col("_target").alias("target"), (F.size("_shards") * F.col("_size")).cast("long").alias("taken"))

@@ -26,7 +26,7 @@ NGRAMS = (1, 2, 3)
 TRAIN_ROWS = 2000                  # graded rows per grade that the fit reads
 TRAIN_TEXT_BYTES = 1 << 20
 MAX_GRADES = 20
-STEPS, RATE, MOMENTUM, MIN_TEXTS = 150, 30.0, 0.9, 3
+STEPS, RATE, MOMENTUM, MIN_TEXTS, DECAY = 150, 30.0, 0.9, 3, 1e-6
 KEEP_AT = 0.5                      # a text is kept when P(grade >= 1) reaches this
 
 
@@ -57,7 +57,8 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 def fit(texts: list[str], grades: list[int], n_grades: int) -> tuple[np.ndarray, np.ndarray]:
     """(shared weights, ordered thresholds), by gradient descent with momentum
-    on the log-likelihood, grades weighted equally. Thresholds are kept ordered
+    on the log-likelihood, grades weighted equally; the step is halved whenever
+    the loss rises. Thresholds are kept ordered
     as a first one plus positive steps."""
     y = np.asarray(grades, int)
     n = len(y)
@@ -77,12 +78,20 @@ def fit(texts: list[str], grades: list[int], n_grades: int) -> tuple[np.ndarray,
     m_w, m_t = np.zeros(BUCKETS), np.zeros(n_grades - 1)
     share = (1.0 / np.maximum(np.bincount(y, minlength=n_grades), 1))[y]
     share /= share.sum()
+    rate, last, back = RATE, np.inf, (w.copy(), theta.copy())
     for _ in range(STEPS):
         cut = np.cumsum(np.concatenate([theta[:1], np.exp(theta[1:])]))
         z = np.bincount(row, weights=x * w[c], minlength=n)
         upper = np.where(y > 0, _sigmoid(z - cut[np.maximum(y - 1, 0)]), 1.0)          # P(grade >= y)
         lower = np.where(y < n_grades - 1, _sigmoid(z - cut[np.minimum(y, n_grades - 2)]), 0.0)   # P(grade > y)
         p = np.maximum(upper - lower, 1e-9)
+        loss = -(share * np.log(p)).sum() + DECAY / 2 * (w * w).sum()
+        if loss > last:                       # too far: back to the last good point with half the step
+            rate /= 2
+            w, theta = back[0].copy(), back[1].copy()
+            m_w[:], m_t[:], last = 0, 0, np.inf
+            continue
+        last, back = loss, (w.copy(), theta.copy())
         d_up, d_low = upper * (1 - upper) / p, lower * (1 - lower) / p
         g_z = -(d_up - d_low) * share
         g_cut = np.bincount(np.maximum(y - 1, 0), weights=np.where(y > 0, d_up, 0) * share, minlength=n_grades - 1) \
@@ -90,10 +99,11 @@ def fit(texts: list[str], grades: list[int], n_grades: int) -> tuple[np.ndarray,
                           minlength=n_grades - 1)
         g_t = np.cumsum(g_cut[::-1])[::-1]
         g_t = np.concatenate([g_t[:1], g_t[1:] * np.exp(theta[1:])])
-        m_w = MOMENTUM * m_w + np.bincount(c, weights=x * g_z[row], minlength=BUCKETS) + 1e-6 * w
+        m_w = MOMENTUM * m_w + np.bincount(c, weights=x * g_z[row], minlength=BUCKETS) + DECAY * w
         m_t = MOMENTUM * m_t + g_t
-        w -= RATE * m_w
-        theta -= 0.3 * m_t
+        w -= rate * m_w
+        theta -= min(rate, 0.3) * m_t
+    w, theta = back
     return w, np.cumsum(np.concatenate([theta[:1], np.exp(theta[1:])]))
 
 

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kiln.llm.frames import bounded_sample, fold, hash60
 from kiln.llm.textops import ASCII_LOWER, slices, span_hashes, utf8_buffer, word_spans
@@ -24,7 +25,7 @@ NGRAMS = (3, 4, 5)
 TRAIN_ROWS = 2000                  # labelled rows per class that the fit reads
 TRAIN_TEXT_BYTES = 1 << 20         # longer texts are left out of the fit (not of scoring)
 STEPS, RATE, OUT_RATE, MOMENTUM = 150, 120.0, 0.05, 0.9
-PRIOR, MIN_TEXTS = 10.0, 3
+PRIOR, MIN_TEXTS, DECAY = 10.0, 5, 1e-5
 THRESHOLD = 0.7
 
 # words: runs of letters, digits and non-ASCII bytes
@@ -114,7 +115,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> tuple[np.ndarray,
         z = np.bincount(row, weights=x * (emb @ (out[:, 1] - out[:, 0]))[c], minlength=n) + bias[1] - bias[0]
         delta = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) * share      # of class 1; class 0 is its negative
         pull = np.bincount(c, weights=x * delta[row], minlength=BUCKETS)
-        m_emb = MOMENTUM * m_emb + pull[:, None] * (out[:, 1] - out[:, 0])
+        m_emb = MOMENTUM * m_emb + pull[:, None] * (out[:, 1] - out[:, 0]) + DECAY * emb
         g = emb.T @ pull
         m_out = MOMENTUM * m_out + np.stack([-g, g], axis=1)
         m_bias = MOMENTUM * m_bias + np.array([-delta.sum(), delta.sum()])
@@ -149,8 +150,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], column: str = "score
         for batch in batches:
             z = _logits(batch.column("text"), v, bias)
             yield batch.append_column(column, pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500)))))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{fields}, {column} double")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
