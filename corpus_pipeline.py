@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.llm import mixing, phrase_index, ring, setsketch, toxicity
-from kiln.llm.frames import table
+from kiln.llm.frames import fresh_name, table
 from kiln.session import materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
-    return toxicity.score(docs, model, "_toxic").where(F.col("_toxic") < toxicity.THRESHOLD).drop("_toxic")
+    name = fresh_name(docs, "_toxic")
+    return toxicity.score(docs, model, name).where(F.col(name) < toxicity.THRESHOLD).drop(name)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
