@@ -69,8 +69,8 @@ def strip_chars_in_sequence(col: Column | str,
 
 
 def trim_lower(col: Column | str) -> Column:
-    """X5."""
-    return F.lower(F.trim(_c(col)))
+    """White space of any kind goes from both ends."""
+    return F.lower(F.regexp_replace(_c(col), r"^\s+|\s+$", ""))
 
 
 def fill_template(template: str, *cols: Column | str) -> Column:

@@ -17,24 +17,21 @@ from pyspark.sql import functions as F
 
 from kiln.operators.ordered import ordered_scan
 from kiln.operators.split import first_n_per_group
-from kiln.operators.stats import zero_filled_grid
 
 LOG_LOSS_EPS = 1e-15  # fixed value: probability clip used by log loss
 
 
 def confusion(scored: DataFrame, classes: Sequence, label: str = "label",
               prediction: str = "prediction") -> DataFrame:
-    """(label, prediction, n) over the full class grid, zero-filled;
-    rows are the truth."""
-    counts = scored.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")) \
-        .agg(F.count(F.lit(1)).alias("n"))
+    """(label, prediction, n) over the full class grid, zero-filled, plus
+    every other pair that occurs (unlisted classes, nulls), so all rows are
+    counted; rows are the truth."""
     t = scored.schema[label].dataType
-    base = counts.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(c).cast(t) for c in classes])).alias("label"))
-    counts = counts.withColumn("prediction", F.col("prediction").cast(t))
-    return zero_filled_grid(counts, base, {"prediction": list(classes)}, "n", 0) \
-        .withColumn("prediction", F.col("prediction").cast(t)) \
-        .withColumn("n", F.col("n").cast("bigint"))
+    seen = scored.select(F.col(label).alias("label"), F.col(prediction).cast(t).alias("prediction"), F.lit(1).alias("n"))
+    listed = F.array(*[F.lit(c).cast(t) for c in classes])
+    grid = scored.sparkSession.range(1).select(F.explode(listed).alias("label")) \
+        .select("label", F.explode(listed).alias("prediction"), F.lit(0).alias("n"))
+    return seen.unionByName(grid).groupBy("label", "prediction").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def classification_metrics(conf: DataFrame, positive=1) -> DataFrame:
@@ -64,10 +61,12 @@ def per_class_f1(t: DataFrame) -> DataFrame:
 
 def f1_by_label(conf: DataFrame) -> DataFrame:
     """F1 of each class separately (trap 4: not the weighted F1)."""
-    tp = conf.where(F.col("label") == F.col("prediction")).select("label", F.col("n").alias("tp"))
-    true_n = conf.groupBy("label").agg(F.sum("n").alias("support"))
-    pred_n = conf.groupBy(F.col("prediction").alias("label")).agg(F.sum("n").alias("predicted"))
-    return per_class_f1(tp.join(true_n, "label").join(pred_n, "label"))
+    n, none = F.col("n"), F.lit(0).cast("bigint")
+    truth = conf.select("label", F.when(F.col("label").eqNullSafe(F.col("prediction")), n).otherwise(none).alias("tp"),
+                        n.alias("support"), none.alias("predicted"))
+    said = conf.select(F.col("prediction").alias("label"), none.alias("tp"), none.alias("support"), n.alias("predicted"))
+    return per_class_f1(truth.unionByName(said).groupBy("label").agg(
+        F.sum("tp").alias("tp"), F.sum("support").alias("support"), F.sum("predicted").alias("predicted")))
 
 
 def auc_exact(scored: DataFrame, score: str = "score", label: str = "label",

@@ -29,7 +29,7 @@ from kiln.functions.arrays import squared_distance
 from kiln.operators.split import id_rank
 from kiln.session import materialize
 
-_DEBUG = False
+MAX_DIMS = 8
 
 
 def group_points(df: DataFrame, id_col: str, vec: str, label: str) -> DataFrame:
@@ -50,6 +50,9 @@ def knn(queries: DataFrame, refs: DataFrame, id_col: str, vec: str, label: str,
     reference row with the same id). Output rows: (qid, n_vec, n_label, take,
     d2) with ``sum(take) = min(k, available)`` per query."""
     spark = queries.sparkSession
+    first = queries.select(F.size(vec)).first()
+    if first is not None and first[0] > MAX_DIMS:
+        raise ValueError(f"a grid search meets 3^d cells per query: at most {MAX_DIMS} dimensions")
     groups = group_points(refs, id_col, vec, label).persist(StorageLevel.MEMORY_AND_DISK)
     q = queries.select(F.col(id_col).alias("_qid"), F.col(vec).alias("_qv"),
                        (F.col(label) if exclude_self else F.lit(None)).alias("_ql"))
@@ -57,9 +60,10 @@ def knn(queries: DataFrame, refs: DataFrame, id_col: str, vec: str, label: str,
     if d == 0:
         groups.unpersist()
         return spark.createDataFrame([], "qid long, n_vec array<double>, n_label int, take long, d2 double")
-    # Starting cell size from the data's extent and size (one aggregate).
-    ext = groups.agg(*[F.min(F.col("_gv")[i]) for i in range(d)], *[F.max(F.col("_gv")[i]) for i in range(d)],
-                     F.sum("_w")).first()
+    # Starting cell size from the data's extent (references and queries) and size.
+    both = groups.select("_gv", "_w").unionByName(q.select(F.col("_qv").alias("_gv"), F.lit(0).cast("bigint").alias("_w")))
+    ext = both.agg(*[F.min(F.col("_gv")[i]) for i in range(d)], *[F.max(F.col("_gv")[i]) for i in range(d)],
+                   F.sum("_w")).first()
     spans = [max(float(ext[d + i]) - float(ext[i]), 1e-9) for i in range(d)]
     n = int(ext[2 * d] or 0)
     h = start_cell or (math.prod(spans) * target_per_cell / max(n, 1)) ** (1.0 / d)
@@ -109,8 +113,6 @@ def knn(queries: DataFrame, refs: DataFrame, id_col: str, vec: str, label: str,
         nxt = materialize(pending.join(done.select(F.col("qid").alias("_qid")).distinct(),
                                        "_qid", "left_anti"), "knn-pending")
         left = nxt.count()
-        if _DEBUG:
-            print("knn round h=%.4g pending=%d" % (h, left), flush=True)
         pending.unpersist()
         pending = nxt
         if left == 0:
@@ -121,7 +123,10 @@ def knn(queries: DataFrame, refs: DataFrame, id_col: str, vec: str, label: str,
         need = per_q.where(F.col("_got") >= k).join(nxt.select("_qid"), "_qid", "left_semi") \
             .agg(F.max(F.sqrt("_dk"))).first()[0]
         h = max(2.0 * h, float(need) if need is not None else 0.0)
+    else:
+        raise RuntimeError(f"queries left open after {max_rounds} rounds: raise max_rounds or start_cell")
     pending.unpersist()
+    groups.unpersist()
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)

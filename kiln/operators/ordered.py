@@ -32,7 +32,8 @@ def ordered_scan(df: DataFrame, order: Sequence[Column], bucket: Column,
     * ``cum_<s>`` for each ``s`` in ``sums``: running sum of ``s`` up to and
       including this row.
 
-    ``order`` must be a total order within a group (end with a unique id)."""
+    ``order`` must be a total order within a group (end with a unique id).
+    Nulls are values: a null group is a group, a null order value comes first."""
     keys = list(partition_by)
     b = df.withColumn("_b", bucket)
     w_local = Window.partitionBy(*keys, "_b").orderBy(*order)
@@ -63,7 +64,12 @@ def ordered_scan(df: DataFrame, order: Sequence[Column], bucket: Column,
     keep = ["_off"] + [f"_bprev_{c}" for c in carry] + [f"_bcum_{s}" for s in sums]
     if size_col:
         keep.append(size_col)
-    out = local.join(offsets.select(*keys, "_b", *keep), keys + ["_b"])
+    # null-safe: rows of a null group or with a null order value keep their place
+    o = offsets.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_b").alias("_k_b"), *keep)
+    on = F.col("_b").eqNullSafe(F.col("_k_b"))
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    out = local.join(o, on).drop("_k_b", *[f"_k_{k}" for k in keys])
 
     out = out.withColumn(rank_col, F.col("_off") + F.col("_local"))
     for c in carry:

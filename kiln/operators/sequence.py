@@ -62,14 +62,12 @@ def sliding_windows(seq_rows: DataFrame, length: int, seq: str = "seq_id",
     rows = seq_rows.select(seq, pos, *fields).withColumn(
         "_chunk", F.explode(F.when(in_halo & (c > 0), F.array(c, c - 1)).otherwise(F.array(c))))
     w = Window.partitionBy(seq, "_chunk").orderBy(pos).rowsBetween(0, length)
-    win = rows
-    for f in fields:
-        win = win.withColumn(f"_w_{f}", F.collect_list(f).over(w))
-    win = win.where((F.floor((F.col(pos) - 1) / F.lit(chunk)) == F.col("_chunk"))
-                    & (F.size(f"_w_{fields[0]}") == length + 1))
+    # one struct per row: a null field stays in its place
+    win = rows.withColumn("_w", F.collect_list(F.struct(*fields)).over(w))
+    win = win.where((F.floor((F.col(pos) - 1) / F.lit(chunk)) == F.col("_chunk")) & (F.size("_w") == length + 1))
     out = win.select(seq, F.col(pos).alias("window_start"),
-                     *[F.slice(f"_w_{f}", 1, length).alias(f"in_{f}") for f in fields],
-                     *[F.element_at(f"_w_{f}", length + 1).alias(f"target_{f}") for f in fields])
+                     *[F.slice(F.col("_w")[f], 1, length).alias(f"in_{f}") for f in fields],
+                     *[F.element_at("_w", length + 1)[f].alias(f"target_{f}") for f in fields])
     return out
 
 

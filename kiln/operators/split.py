@@ -44,10 +44,11 @@ def hash_bucket(id_col: Column | str, n: int, seed: int | None = None) -> Column
 
 def hash_split(df: DataFrame, id_col: str, train_fraction: float = 0.8,
                seed: int | None = None, out: str = "split") -> DataFrame:
-    """G1: ``train`` when the id's hash bucket (of 100) is below the fraction.
-    Stable under repartitioning; sizes are binomial, not exact."""
-    cut = int(round(train_fraction * 100))
-    return df.withColumn(out, F.when(hash_bucket(id_col, 100, seed) < cut, F.lit("train"))
+    """G1: ``train`` when the id's 32-bit hash is below that fraction of its
+    range, whatever the fraction. Stable under repartitioning; sizes are
+    binomial, not exact."""
+    cut = F.lit(round(train_fraction * (1 << 32)))
+    return df.withColumn(out, F.when(hash_bucket(id_col, 1 << 32, seed) < cut, F.lit("train"))
                          .otherwise(F.lit("test")))
 
 

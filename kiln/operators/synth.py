@@ -82,7 +82,8 @@ def _ranked_long(df: DataFrame, id_col: str, label: str, cols: Sequence[str],
     bounds = long.groupBy(label, "j").agg(F.percentile_approx("value", probs, 1000).alias("_bounds"))
     b = long.join(F.broadcast(bounds), [label, "j"])   # k*p rows, one per (class, column)
     bucket = F.size(F.filter("_bounds", lambda x: x < F.col("value")))
-    return ordered_scan(b, [F.col("value"), F.col(id_col)], bucket, [label, "j"],
+    # ties are broken by a hash of (row, column): ties of one column say nothing about another's
+    return ordered_scan(b, [F.col("value"), F.xxhash64(F.col(id_col), F.col("j")), F.col(id_col)], bucket, [label, "j"],
                         rank_col="rank", size_col="n").drop("_bounds")
 
 
@@ -129,7 +130,9 @@ def sample_copula(df: DataFrame, id_col: str, label: str, cols: Sequence[str], n
     base = base.withColumn("_ci", cidx)
     lmats = F.array(*[F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in factors[c]])
                       for c in classes])
-    eps = [F.randn(seed + j) for j in range(p)]
+    # normal draws from hash uniforms: the same rows whatever the partitioning
+    eps = [norm_ppf((F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}:{j}"), F.col("sid").cast("string"))),
+                                        1, 8), 16, 10).cast("double") + 0.5) / 4294967296.0) for j in range(p)]
     syn = base.select("sid", F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("_ci") + 1)
                       .alias(label), F.element_at(lmats, F.col("_ci") + 1).alias("_L"), *[e.alias(f"_e{j}") for j, e in enumerate(eps)])
     for i in range(p):

@@ -13,7 +13,7 @@ from kiln.sources.io import read_table
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str, label: str = "toxic",
-                       english_only: bool = True) -> DataFrame:
+                       english_only: bool = False) -> DataFrame:
     """(doc_id, label, text, lang, source, n_chars) for labelled documents.
     The join is on the unique ``doc_id``."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source", "n_chars"])

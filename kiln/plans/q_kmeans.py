@@ -123,24 +123,24 @@ def q_kmeans_ml(spark, sf_dir):
 
 
 @query("softmax_temperature", sql="""
-WITH s AS (SELECT vec_id, list_transform(embedding[1:10], lambda v: v::DOUBLE) AS a FROM embeddings),
+WITH s AS (SELECT vec_id, list_transform(embedding, lambda v: v::DOUBLE) AS a FROM embeddings),
 e AS (SELECT vec_id, list_transform(a, lambda v: exp((v - list_max(a)) / 0.5)) AS ex FROM s)
 SELECT vec_id, list_transform(ex, lambda v: round(v / list_sum(ex), 6)) AS probs FROM e
 """)
 def q_softmax(spark, sf_dir):
-    """Softmax of the first 10 dims as scores, temperature 0.5."""
+    """Softmax of all dims as scores, temperature 0.5."""
     e = _emb(spark, sf_dir)
-    return e.select("vec_id", _round_arr(softmax(F.slice("embedding", 1, N_SCORES), 0.5)).alias("probs"))
+    return e.select("vec_id", _round_arr(softmax(F.col("embedding"), 0.5)).alias("probs"))
 
 
 @query("argmax_class", sql="""
-SELECT vec_id, (list_position(embedding[1:10], list_max(embedding[1:10])) - 1)::INTEGER AS cls
+SELECT vec_id, (list_position(embedding, list_max(embedding)) - 1)::INTEGER AS cls
 FROM embeddings
 """)
 def q_argmax(spark, sf_dir):
-    """Index of the first maximum of the first 10 dims."""
+    """Index of the first maximum of all dims."""
     e = _emb(spark, sf_dir)
-    return e.select("vec_id", argmax(F.slice("embedding", 1, N_SCORES)).alias("cls"))
+    return e.select("vec_id", argmax(F.col("embedding")).alias("cls"))
 
 
 @query("scale_array", sql="""
@@ -154,17 +154,17 @@ def q_scale_array(spark, sf_dir):
 
 
 @query("sample_category", sql="""
-WITH s AS (SELECT vec_id, list_transform(embedding[1:10], lambda v: v::DOUBLE) AS a FROM embeddings),
-g AS (SELECT vec_id, list_transform(range(1, 11), lambda i:
+WITH s AS (SELECT vec_id, list_transform(embedding, lambda v: v::DOUBLE) AS a FROM embeddings),
+g AS (SELECT vec_id, list_transform(range(1, len(a) + 1), lambda i:
         a[i] / 1.0 - ln(-ln((('0x' || substr(md5('3:' || vec_id::varchar || ':' || (i - 1)::varchar), 1, 8))::UBIGINT
                               + 0.5) / 4294967296.0))) AS gv FROM s)
 SELECT vec_id, (list_position(gv, list_max(gv)) - 1)::INTEGER AS draw FROM g
 """)
 def q_sample_category(spark, sf_dir):
-    """One category per row drawn from softmax(first 10 dims) by the
+    """One category per row drawn from softmax(all dims) by the
     Gumbel-max rule, with reproducible hash uniforms."""
     e = _emb(spark, sf_dir)
-    return e.select("vec_id", sample_category(F.slice("embedding", 1, N_SCORES), F.col("vec_id"),
+    return e.select("vec_id", sample_category(F.col("embedding"), F.col("vec_id"),
                                               seed=3).alias("draw"))
 
 

@@ -112,7 +112,7 @@ def q_review_samples(spark, sf_dir):
 
 @query("class_balance", sql="""
 SELECT l.toxic AS label, count(*) AS n FROM documents d JOIN labels l USING (doc_id)
-WHERE d.lang = 'en' GROUP BY l.toxic
+GROUP BY l.toxic
 """)
 def q_class_balance(spark, sf_dir):
     """Rows per class."""

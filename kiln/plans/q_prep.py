@@ -109,7 +109,7 @@ def q_dropna_subset(spark, sf_dir):
 
 @query("zscore_train_stats", sql="""
 WITH s AS (SELECT o_orderkey, o_totalprice,
-  CASE WHEN ('0x' || substr(md5('0:' || o_orderkey::varchar), 1, 8))::ubigint % 100 < 70
+  CASE WHEN ('0x' || substr(md5('0:' || o_orderkey::varchar), 1, 8))::ubigint < 3006477107
        THEN 'train' ELSE 'test' END AS split FROM orders),
 m AS (SELECT avg(o_totalprice) AS mu, greatest(stddev_pop(o_totalprice), 1e-12) AS sd
       FROM s WHERE split = 'train')
@@ -151,7 +151,7 @@ _HASH = "('0x' || substr(md5('{seed}:' || {col}::varchar), 1, 8))::ubigint"
 
 
 @query("hash_split_counts", sql=f"""
-SELECT CASE WHEN {_HASH.format(seed=42, col='o_orderkey')} % 100 < 80 THEN 'train' ELSE 'test' END AS split,
+SELECT CASE WHEN {_HASH.format(seed=42, col='o_orderkey')} < 3435973837 THEN 'train' ELSE 'test' END AS split,
        count(*) AS n
 FROM orders GROUP BY 1
 """)

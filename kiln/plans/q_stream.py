@@ -26,14 +26,57 @@ def _stream(spark, sf_dir, n_batches):
     return e, res
 
 
-@query("microbatch_kmeans")
+def _rounds_sql(n_batches: int) -> str:
+    """The whole stream written out: batch numbers, start rows, and per batch
+    the distances, the assignment, the means and the weighted update."""
+    ctes = [f"""
+p AS (SELECT vec_id, label, list_transform(embedding, lambda v: v::DOUBLE) AS x,
+             (row_number() OVER (ORDER BY vec_id) - 1) % {n_batches} AS batch FROM embeddings),
+s0 AS (SELECT cluster, x AS c, 0.0::DOUBLE AS w FROM (
+         SELECT (row_number() OVER (ORDER BY md5('0:' || vec_id::varchar), vec_id) - 1)::INTEGER AS cluster, x
+         FROM p WHERE batch = 0) WHERE cluster < {K})"""]
+    for t in range(n_batches + 1):
+        rows = f"SELECT * FROM p WHERE batch = {t}" if t < n_batches else "SELECT * FROM p"
+        ctes.append(f"""
+a{t} AS (SELECT vec_id, label, x, cluster FROM (
+  SELECT r.*, s.cluster, row_number() OVER (PARTITION BY vec_id ORDER BY list_sum(list_transform(
+    list_zip(r.x, s.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), s.cluster) AS rn
+  FROM ({rows}) r CROSS JOIN s{t} s) WHERE rn = 1),
+n{t} AS (SELECT cluster, count(*) AS n FROM a{t} GROUP BY cluster),
+m{t} AS (SELECT cluster, list(m ORDER BY j) AS mean FROM (
+  SELECT cluster, j, avg(v) AS m FROM (SELECT cluster, unnest(x) AS v, unnest(range(1, len(x) + 1)) AS j FROM a{t})
+  GROUP BY cluster, j) GROUP BY cluster),
+s{t + 1} AS (SELECT s.cluster, s.w + coalesce(n.n, 0) AS w, CASE WHEN n.n IS NULL THEN s.c ELSE
+  list_transform(list_zip(s.c, m.mean), lambda z: (s.w * z[1] + n.n * z[2]) / (s.w + n.n)) END AS c
+  FROM s{t} s LEFT JOIN n{t} n USING (cluster) LEFT JOIN m{t} m USING (cluster))""")
+    return "WITH " + ",".join(ctes)
+
+
+@query("microbatch_kmeans", sql=_rounds_sql(5) + """
+SELECT cluster, sum(n)::BIGINT AS size, round(max(n) / sum(n), 9) AS purity
+FROM (SELECT cluster, label, count(*) AS n FROM a5 GROUP BY cluster, label) GROUP BY cluster
+""")
 def q_microbatch_kmeans(spark, sf_dir):
     """5 interleaved micro-batches streamed through the decayed k-means
     update (alpha = 1); the whole table is then scored with the final state
     and each cluster's size and purity reported."""
     e, res = _stream(spark, sf_dir, 5)
     cents = [list(r["centroid"]) for r in mk.final_state(spark, res).orderBy("cluster").collect()]
-    return st.purity(km.composition(e, "embedding", "label", cents))
+    p = st.purity(km.composition(e, "embedding", "label", cents))
+    return p.select("cluster", "size", F.round("purity", 9).alias("purity"))
+
+
+@query("microbatch_counts", sql=_rounds_sql(5) + " " + " UNION ALL ".join(f"""
+SELECT {t}::BIGINT AS batch_id, s.cluster, coalesce(n.n, 0)::BIGINT AS n,
+       round(s{t + 1}.w, 6) AS weight_after FROM s{t} s LEFT JOIN n{t} n USING (cluster) JOIN s{t + 1} USING (cluster)
+""" for t in range(5)))
+def q_microbatch_counts(spark, sf_dir):
+    """T4: rows per cluster of every batch, counted before its update, and the
+    cluster's weight after it."""
+    _, res = _stream(spark, sf_dir, 5)
+    after = spark.read.schema(f"{mk.STATE}, b long").parquet(res.state_path) \
+        .select(F.col("b").alias("batch_id"), "cluster", F.round("weight", 6).alias("weight_after"))
+    return mk.batch_counts(spark, res).join(F.broadcast(after), ["batch_id", "cluster"])
 
 
 @query("microbatch_kmeans_one", sql="""

@@ -31,7 +31,7 @@ _SHARES_SQL = """
 WITH d AS (
   SELECT d.doc_id, l.toxic AS label,
          list_filter(string_split_regex(lower(d.text), '[^a-z]+'), lambda w: w <> '') AS w
-  FROM documents d JOIN labels l USING (doc_id) WHERE d.lang = 'en'),
+  FROM documents d JOIN labels l USING (doc_id)),
 t AS (SELECT doc_id, label, len(w) AS total, unnest(w) AS word FROM d),
 shares AS (SELECT doc_id, label, word, 100.0 * count(*) / any_value(total) AS x
            FROM t GROUP BY doc_id, label, word)
@@ -66,7 +66,7 @@ def _nb_inputs(spark, sf_dir):
 
 _NB_TRAIN_SQL = _SHARES_SQL + """
 , split AS (SELECT doc_id, label,
-    CASE WHEN ('0x' || substr(md5('0:' || doc_id::varchar), 1, 8))::ubigint % 100 < 80
+    CASE WHEN ('0x' || substr(md5('0:' || doc_id::varchar), 1, 8))::ubigint < 3435973837
          THEN 'train' ELSE 'test' END AS split FROM d),
 tr AS (SELECT s.* FROM shares s JOIN split p USING (doc_id) WHERE p.split = 'train'),
 vocab AS (SELECT DISTINCT word FROM tr),

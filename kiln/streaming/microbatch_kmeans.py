@@ -1,20 +1,18 @@
 """Micro-batch k-means on Structured Streaming.
 
-* T1 ``write_microbatches``: cut a table into n interleaved batches
-  (``position % n``) and write them in order, one folder per batch.
-* T2/T3/T4 ``run``: ``readStream`` over those files (``maxFilesPerTrigger``
-  = files per batch), ``trigger(availableNow=True)``; ``foreachBatch``
-  assigns the micro-batch to the current centroids, aggregates per cluster
-  (count + mean: k rows), and applies the decayed update
-  ``n_old = alpha * n_j; c_j = (n_old c_j + m_j mean_j) / (n_old + m_j);
-  n_j = n_old + m_j`` (a cluster absent from the batch only decays). Empty
-  batches are skipped; the start centroids are sampled (seeded hash order)
-  from the first non-empty batch.
-* State is k rows, written per ``batch_id`` as parquet under the shared
-  checkpoint folder and read back from there (never from driver memory), so
-  a replayed batch recomputes the same state: the update is idempotent.
-  Per-batch cluster counts (T4) use the centroids *before* that batch's
-  update and are written per ``batch_id`` too.
+* T1 ``write_microbatches``: rows ranked by id once; row number r goes to
+  batch ``r mod n``; batches are written one after another, so file times
+  follow batch order, and every row keeps its batch number.
+* T2/T3/T4 ``run``: ``readStream`` over those files, one batch per trigger.
+  In ``foreachBatch`` the batch is assigned to the current centroids and
+  aggregated per cluster, and the state table (k rows) is joined to that
+  aggregate: one expression gives the new centroid and weight of present and
+  absent clusters alike. Empty batches are skipped; the first other batch
+  supplies the start centroids (its smallest salted id hashes).
+* The state after batch b is the parquet folder ``state/b=<b>`` in the shared
+  checkpoint folder and batch b reads folder b - 1 back from there, so a
+  replayed batch writes the same state again. Per-batch cluster counts (T4),
+  before the batch's update, are ``counts/b=<b>``.
 * T5: the caller scores the whole table with the final centroids.
 """
 
@@ -23,24 +21,27 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kiln.operators import kmeans as km
 from kiln.operators.split import id_rank, sample_k
-from kiln.session import shared_path
+from kiln.session import materialize, shared_path
+
+STATE = "cluster int, centroid array<double>, weight double"
 
 
 def write_microbatches(df: DataFrame, id_col: str, n_batches: int, path: str,
                        files_per_batch: int = 1) -> None:
-    """T1 (W2 + F7): dense position in id order, batch = position % n; each
-    batch is written to ``path/batch=<i>`` in batch order (so file times
-    follow batch order) with ``files_per_batch`` files."""
-    ranked = id_rank(df, id_col, size_col=None).withColumn(
-        "batch", F.pmod(F.col("_rank") - 1, F.lit(n_batches))).drop("_rank")
+    """T1 (W2 + F7): dense position in id order, ``batch`` = position mod n,
+    written to ``path/<batch>`` in batch order with ``files_per_batch`` files."""
+    at = F.pmod(F.col("_rank") - 1, F.lit(n_batches)).cast("int")
+    ranked = materialize(id_rank(df, id_col, size_col=None).withColumn("batch", at).drop("_rank"), "ranked")
     for i in range(n_batches):
-        part = ranked.where(F.col("batch") == i).drop("batch").repartition(files_per_batch)
-        part.write.mode("overwrite").parquet(os.path.join(path, f"batch={i:05d}"))
+        ranked.where(F.col("batch") == i).repartition(files_per_batch) \
+            .write.mode("overwrite").parquet(os.path.join(path, f"{i:05d}"))
 
 
 @dataclass
@@ -49,81 +50,72 @@ class StreamResult:
     counts_path: str
 
 
-def decayed_update(cents, weights, stats, alpha):
-    """T2 on k rows: ``stats[j] = (m_j, mean_j)`` for the clusters present in
-    the batch. ``n_old = alpha * n_j``; present: ``c_j = (n_old c_j + m_j
-    mean_j) / (n_old + m_j)``, ``n_j = n_old + m_j``; absent: ``n_j = n_old``."""
-    new_c, new_w = [], []
-    for j in range(len(cents)):
-        n_old = alpha * weights[j]
-        if j in stats:
-            m, mean = stats[j]
-            den = n_old + m
-            new_c.append([(n_old * c + m * x) / den for c, x in zip(cents[j], mean)])
-            new_w.append(den)
-        else:
-            new_c.append(list(cents[j]))
-            new_w.append(n_old)
-    return new_c, new_w
-
-
-def _read_state(spark: SparkSession, state_path: str, before: int):
-    """Latest state written for a batch id < ``before`` (k rows)."""
-    if not os.path.exists(state_path) and "://" not in state_path:
-        return None
+def decayed(state: DataFrame, stats: DataFrame, alpha: float) -> DataFrame:
+    """``state`` (cluster, centroid, weight) after a batch with ``stats``
+    (cluster, n, centroid = mean). The kept weight is ``alpha * weight``; a
+    cluster moves to the weighted mean of its centroid and the batch's, which
+    for one without rows (n = 0) is where it was."""
+    seen = stats.select("cluster", F.col("n").cast("double").alias("_n"), F.col("centroid").alias("_mean"))
+    kept, n = F.col("weight") * F.lit(float(alpha)), F.coalesce("_n", F.lit(0.0))
+    pull = n / (kept + n)
+    moved = F.zip_with("centroid", "_mean", lambda c, m: c + (m - c) * pull)
+    return state.join(F.broadcast(seen), "cluster", "left") \
+        .select("cluster", F.when(n > 0, moved).otherwise(F.col("centroid")).alias("centroid"),
+                (kept + n).alias("weight"))
+
+
+def _state_before(spark: SparkSession, state_path: str, batch_id: int) -> DataFrame | None:
+    """The latest state of a batch before ``batch_id``; None when there is
+    none yet. Any other read error is raised."""
     try:
-        st = spark.read.parquet(state_path).where(F.col("batch_id") < before)
-    except Exception:  # noqa: BLE001 - no state written yet
-        return None
-    last = st.agg(F.max("batch_id")).first()[0]
-    if last is None:
-        return None
-    rows = st.where(F.col("batch_id") == last).orderBy("cluster").collect()
-    return [list(r["centroid"]) for r in rows], [float(r["weight"]) for r in rows]
+        states = spark.read.schema(f"{STATE}, b int").parquet(state_path).where(F.col("b") < batch_id)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    last = states.agg(F.max("b")).first()[0]
+    return None if last is None else states.where(F.col("b") == last).drop("b")
 
 
-def run(spark: SparkSession, batches_path: str, schema, vec: str, id_col: str, k: int,
+def run(spark: SparkSession, batches_path: str, schema: T.StructType, vec: str, id_col: str, k: int,
         alpha: float = 1.0, seed: int = 0, files_per_batch: int = 1,
         work_dir: str | None = None) -> StreamResult:
-    """Run the streaming update over every batch available now."""
+    """Run the streaming update over every batch available now.
+    ``schema`` is that of the rows without their batch number."""
     base = work_dir or shared_path(spark, "microbatch-kmeans")
-    state_path = os.path.join(base, "state")
-    counts_path = os.path.join(base, "counts")
-    ckpt = os.path.join(base, "stream-checkpoint")
+    state_path, counts_path = os.path.join(base, "state"), os.path.join(base, "counts")
 
     def update(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():                       # T3: skip an empty batch
             return
-        prev = _read_state(spark, state_path, batch_id)
-        if prev is None:                          # T3: start from this batch
-            cents = km.collect_vectors(sample_k(batch, id_col, k, seed), vec, k)
-            weights = [0.0] * len(cents)
-        else:
-            cents, weights = prev
-        d = len(cents[0])
-        stats = {r["cluster"]: r for r in km.cluster_stats(batch, vec, cents, d).collect()}
-        counts = [(int(batch_id), j, int(stats[j]["n"]) if j in stats else 0) for j in range(len(cents))]
-        new_c, new_w = decayed_update(
-            cents, weights, {j: (float(r["n"]), list(r["centroid"])) for j, r in stats.items()}, alpha)
-        rows = [(int(batch_id), j, new_c[j], new_w[j]) for j in range(len(new_c))]
-        spark.createDataFrame(rows, "batch_id bigint, cluster int, centroid array<double>, weight double") \
-            .coalesce(1).write.mode("overwrite").parquet(os.path.join(state_path, f"b={batch_id:08d}"))
-        spark.createDataFrame(counts, "batch_id bigint, cluster int, n bigint") \
-            .coalesce(1).write.mode("overwrite").parquet(os.path.join(counts_path, f"b={batch_id:08d}"))
-
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-              .parquet(batches_path))
-    q = (stream.writeStream.foreachBatch(update).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
+        if batch.select("batch").distinct().limit(2).count() > 1:
+            raise ValueError("a micro-batch mixes batches: write as many files per batch as it reads")
+        state = _state_before(spark, state_path, batch_id)
+        if state is None:                         # T3: start from this batch
+            start = km.collect_vectors(sample_k(batch, id_col, k, seed), vec, k)
+            state = spark.createDataFrame([(j, c, 0.0) for j, c in enumerate(start)], STATE)
+        cents = [list(r["centroid"]) for r in state.orderBy("cluster").collect()]      # k rows
+        stats = materialize(km.cluster_stats(batch, vec, cents, len(cents[0])), "batch-stats")
+        decayed(state, stats, alpha).coalesce(1) \
+            .write.mode("overwrite").parquet(os.path.join(state_path, f"b={batch_id}"))
+        state.select("cluster").join(stats.select("cluster", "n"), "cluster", "left") \
+            .select(F.lit(int(batch_id)).cast("long").alias("batch_id"), "cluster",
+                    F.coalesce("n", F.lit(0)).cast("long").alias("n")).coalesce(1) \
+            .write.mode("overwrite").parquet(os.path.join(counts_path, f"b={batch_id}"))
+
+    stream = spark.readStream.schema(T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())])) \
+        .option("maxFilesPerTrigger", files_per_batch).parquet(os.path.join(batches_path, "*"))
+    q = stream.writeStream.foreachBatch(update) \
+        .option("checkpointLocation", os.path.join(base, "stream-checkpoint")) \
+        .trigger(availableNow=True).start()
     q.awaitTermination()
     return StreamResult(state_path=state_path, counts_path=counts_path)
 
 
 def final_state(spark: SparkSession, result: StreamResult) -> DataFrame:
     """The k-row state after the last batch."""
-    st = spark.read.parquet(result.state_path).drop("b")
-    last = st.agg(F.max("batch_id").alias("_last"))
-    return st.join(F.broadcast(last), st.batch_id == last["_last"]).drop("_last")
+    state = _state_before(spark, result.state_path, 1 << 30)
+    return state if state is not None else spark.createDataFrame([], STATE)
 
 
 def batch_counts(spark: SparkSession, result: StreamResult) -> DataFrame:
