@@ -1,9 +1,10 @@
 """Text -> training sequences.
 
-Tokens are letter runs (``\\p{L}+``), lower-cased. A token's id is a hash of
-the token into a fixed-size id space (``1 .. vocab_size-1``; 0 is padding):
-no vocabulary join, so frequent tokens never make a skewed shuffle, and the
-ids are the same on every engine that has md5.
+Tokens are runs of letters, runs of digits and single symbols, lower-cased;
+only white space is left out. A token's id is a 60-bit hash of the token (0 is
+padding): no vocabulary join, so frequent tokens never make a skewed shuffle,
+and the ids are the same on every engine that has md5. ``vocabulary`` gives
+the table that maps ids back and fails if two tokens ever shared one.
 
 Chunking follows a pair-encoding tokenizer with ``truncation="only_first"``
 and overflow: the first sequence (prompt) is cut into windows of ``budget =
@@ -22,9 +23,8 @@ from pyspark.sql import types as T
 
 from kiln.functions.arrays import attention_mask, chunk_starts, pad_to, shift_left
 
-TOKEN_PATTERN = r"\p{L}+"
+TOKEN_PATTERN = r"\p{L}+|\p{N}+|[^\p{L}\p{N}\t\n\f\r ]"
 PAD_ID = 0
-VOCAB_SIZE = 32000
 
 
 def _c(col: Column | str) -> Column:
@@ -32,32 +32,43 @@ def _c(col: Column | str) -> Column:
 
 
 def tokens(text: Column | str) -> Column:
-    """M7: lower-cased letter runs."""
+    """M7: lower-cased tokens."""
     return F.transform(F.regexp_extract_all(_c(text), F.lit(TOKEN_PATTERN), 0), lambda t: F.lower(t))
 
 
-def token_id(tok: Column, vocab_size: int = VOCAB_SIZE) -> Column:
-    """Hash id in ``1 .. vocab_size - 1`` (md5 prefix, 32 bits)."""
-    h = F.conv(F.substring(F.md5(tok), 1, 8), 16, 10).cast("bigint")
-    return (F.lit(1) + F.pmod(h, F.lit(vocab_size - 1))).cast("bigint")
+def token_id(tok: Column) -> Column:
+    """Hash id from 1 (60 bits of md5)."""
+    return F.conv(F.substring(F.md5(tok), 1, 15), 16, 10).cast("bigint") + F.lit(1).cast("bigint")
 
 
-def token_ids(text: Column | str, vocab_size: int = VOCAB_SIZE) -> Column:
-    return F.transform(tokens(text), lambda t: token_id(t, vocab_size))
+def token_ids(text: Column | str) -> Column:
+    return F.transform(tokens(text), token_id)
+
+
+def vocabulary(df: DataFrame, text: Column | str) -> DataFrame:
+    """(id, token, n): every token with its id and count. Two tokens with one
+    id fail the job."""
+    seen = df.select(F.explode(tokens(text)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    by_id = seen.withColumn("id", token_id(F.col("token"))).groupBy("id").agg(
+        F.min("token").alias("token"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("_c"))
+    one = F.when(F.col("_c") > 1, F.raise_error(F.lit("two tokens share an id")).cast("string")).otherwise(F.col("token"))
+    return by_id.select("id", one.alias("token"), "n")
 
 
 def chunk(df: DataFrame, id_col: str, prompt: Column | str, answer: Column | str,
           max_len: int = 512, overlap: int = 128, specials: int = 0,
-          vocab_size: int = VOCAB_SIZE, with_spans: bool = False) -> DataFrame:
+          with_spans: bool = False) -> DataFrame:
     """X23 + X24 + X22: one output row per chunk with ``sample_id`` (X25, the
     source row), ``chunk_index``, ``input_ids`` (padded), ``attention_mask``
     (tinyint), ``labels`` (ids shifted left, -100 appended) and ``n_real``.
-    Rows whose answer leaves no more than ``overlap`` tokens of budget are
-    rejected (no chunks) -- see ``rejected_rows``."""
-    base = df.select(F.col(id_col).alias("sample_id"),
-                     token_ids(prompt, vocab_size).alias("_p"),
-                     token_ids(answer, vocab_size).alias("_a"),
-                     *([_c(prompt).alias("_ptext"), _c(answer).alias("_atext")] if with_spans else []))
+    Rows with a null prompt or answer, and rows whose answer leaves no more
+    than ``overlap`` tokens of budget, have no chunks: ``rejected_rows`` lists
+    them with the reason."""
+    given = df.where(_c(prompt).isNotNull() & _c(answer).isNotNull())
+    # spans once per row, before the chunks are unfolded
+    base = given.select(F.col(id_col).alias("sample_id"), token_ids(prompt).alias("_p"), token_ids(answer).alias("_a"),
+                        *([token_spans(_c(prompt)).alias("_ps"), token_spans(_c(answer)).alias("_as")]
+                          if with_spans else []))
     budget = F.lit(max_len - specials) - F.size("_a")
     starts = chunk_starts(F.size("_p"), budget, overlap)
     ex = base.select("*", budget.alias("_budget"),
@@ -70,10 +81,8 @@ def chunk(df: DataFrame, id_col: str, prompt: Column | str, answer: Column | str
            .withColumn("labels", shift_left("input_ids")))
     keep = ["sample_id", "chunk_index", "input_ids", "attention_mask", "labels", "n_real"]
     if with_spans:
-        ps, a_s = token_spans(F.col("_ptext")), token_spans(F.col("_atext"))
         n_p = F.least(F.col("_budget"), F.size("_p") - F.col("_start"))
-        out = (out.withColumn("_ps", ps).withColumn("_as", a_s)
-               .withColumn("offset_start", F.concat(F.slice("_ps.starts", F.col("_start") + 1, n_p),
+        out = (out.withColumn("offset_start", F.concat(F.slice("_ps.starts", F.col("_start") + 1, n_p),
                                                     F.col("_as.starts")))
                .withColumn("offset_end", F.concat(F.slice("_ps.ends", F.col("_start") + 1, n_p),
                                                   F.col("_as.ends"))))
@@ -81,11 +90,13 @@ def chunk(df: DataFrame, id_col: str, prompt: Column | str, answer: Column | str
     return out.select(*keep)
 
 
-def rejected_rows(df: DataFrame, id_col: str, answer: Column | str, max_len: int = 512,
+def rejected_rows(df: DataFrame, id_col: str, prompt: Column | str, answer: Column | str, max_len: int = 512,
                   overlap: int = 128, specials: int = 0) -> DataFrame:
-    """Rows ``chunk`` drops because the answer leaves too little budget."""
+    """(sample_id, reason) of the rows that ``chunk`` has no chunks for."""
     budget = F.lit(max_len - specials) - F.size(tokens(answer))
-    return df.where(budget <= overlap).select(id_col)
+    reason = F.when(_c(prompt).isNull(), "no prompt").when(_c(answer).isNull(), "no answer") \
+        .when(budget <= overlap, "answer too long")
+    return df.select(F.col(id_col).alias("sample_id"), reason.alias("reason")).where("reason is not null")
 
 
 _SPAN_TYPE = T.StructType([T.StructField("starts", T.ArrayType(T.LongType())),

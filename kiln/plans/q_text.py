@@ -61,7 +61,7 @@ pr AS (SELECT u.conv_id, u.turn, regexp_replace(u.text, '<.*?>', '', 'g') AS que
       trim(trim(trim(trim(a.text, '['), ']'), ''''), '"'),
       '\\n\\n!\\[\\]\\(.*?\\)', '', 'g'), '<.*?>', '', 'g')
   ELSE 'NONE' END AS solution
-  FROM u JOIN a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1),
+  FROM u LEFT JOIN a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1),
 dd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY solution ORDER BY conv_id, turn) AS rn FROM pr)
        WHERE rn = 1 AND question IS NOT NULL AND question <> ''),
 r AS (SELECT *, row_number() OVER (ORDER BY md5('0:' || conv_id::varchar || ':' || turn::varchar),
@@ -77,8 +77,8 @@ FROM r
 @query("prompt_pairs", sql=_PROMPT_SQL)
 def q_prompt_pairs(spark, sf_dir):
     """X6 + X7 + X9 + X4 + F5 + W7 + W8: pair each user turn with the next
-    assistant turn (equi-join on the unique (conv_id, turn) key, no window
-    over a whole conversation); question = tags stripped; solution = wrapper
+    assistant turn, or with none (equi-join on the unique (conv_id, turn) key,
+    no window over a whole conversation); question = tags stripped; solution = wrapper
     characters and markup stripped, ``NONE`` when blank; keep the first pair
     per solution; drop empty questions; fill the prompt template; exact
     80/20 shuffled split."""
@@ -86,7 +86,7 @@ def q_prompt_pairs(spark, sf_dir):
     u = c.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("q"))
     a = c.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("s"))
-    pairs = u.join(a, ["conv_id", "turn"]).select(
+    pairs = u.join(a, ["conv_id", "turn"], "left").select(
         "conv_id", "turn", strip_pattern("q", TAG_PATTERN).alias("question"),
         clean_solution("s").alias("solution"))
     pairs = pairs.withColumn("pair_id", F.concat_ws(":", F.col("conv_id").cast("string"),
@@ -102,10 +102,10 @@ def q_prompt_pairs(spark, sf_dir):
 
 _CHUNK_SQL = r"""
 WITH t AS (SELECT doc_id,
-  list_transform(list_transform(regexp_extract_all(text, '\p{L}+'), lambda x: lower(x)),
-                 lambda x: 1 + ('0x' || substr(md5(x), 1, 8))::UBIGINT % 31999) AS p,
-  list_transform(list_transform(regexp_extract_all('Answer: ' || source, '\p{L}+'), lambda x: lower(x)),
-                 lambda x: 1 + ('0x' || substr(md5(x), 1, 8))::UBIGINT % 31999) AS a
+  list_transform(list_transform(regexp_extract_all(text, '\p{L}+|\p{N}+|[^\p{L}\p{N}\t\n\f\r ]'), lambda x: lower(x)),
+                 lambda x: 1 + ('0x' || substr(md5(x), 1, 15))::BIGINT) AS p,
+  list_transform(list_transform(regexp_extract_all('Answer: ' || source, '\p{L}+|\p{N}+|[^\p{L}\p{N}\t\n\f\r ]'), lambda x: lower(x)),
+                 lambda x: 1 + ('0x' || substr(md5(x), 1, 15))::BIGINT) AS a
   FROM documents),
 b AS (SELECT doc_id, p, a, len(p) AS n, 512 - len(a) AS budget FROM t),
 s AS (SELECT doc_id, p, a, budget,
@@ -154,16 +154,16 @@ def q_chunk_labels(spark, sf_dir):
 
 @query("chunk_offsets", sql=r"""
 WITH runs AS (SELECT doc_id, r.run, r.k FROM documents,
-              unnest(regexp_extract_all(text, '\p{L}+|\P{L}+')) WITH ORDINALITY AS r(run, k)),
+              unnest(regexp_extract_all(text, '\p{L}+|\p{N}+|[^\p{L}\p{N}\t\n\f\r ]|[\t\n\f\r ]+')) WITH ORDINALITY AS r(run, k)),
 pos AS (SELECT doc_id, k, run, sum(length(run)) OVER (PARTITION BY doc_id ORDER BY k) - length(run) AS st FROM runs),
 tk AS (SELECT doc_id, list(st ORDER BY k) AS ps, list(st + length(run) ORDER BY k) AS pe
-       FROM pos WHERE regexp_matches(run, '^\p{L}+$') GROUP BY doc_id),
+       FROM pos WHERE NOT regexp_matches(run, '^[\t\n\f\r ]+$') GROUP BY doc_id),
 ans AS (SELECT doc_id, source FROM documents),
 ar AS (SELECT doc_id, r.run, r.k FROM ans,
-       unnest(regexp_extract_all('Answer: ' || source, '\p{L}+|\P{L}+')) WITH ORDINALITY AS r(run, k)),
+       unnest(regexp_extract_all('Answer: ' || source, '\p{L}+|\p{N}+|[^\p{L}\p{N}\t\n\f\r ]|[\t\n\f\r ]+')) WITH ORDINALITY AS r(run, k)),
 apos AS (SELECT doc_id, k, run, sum(length(run)) OVER (PARTITION BY doc_id ORDER BY k) - length(run) AS st FROM ar),
 atk AS (SELECT doc_id, list(st ORDER BY k) AS a_s, list(st + length(run) ORDER BY k) AS a_e, count(*) AS na
-        FROM apos WHERE regexp_matches(run, '^\p{L}+$') GROUP BY doc_id),
+        FROM apos WHERE NOT regexp_matches(run, '^[\t\n\f\r ]+$') GROUP BY doc_id),
 b AS (SELECT d.doc_id, coalesce(tk.ps, []) AS ps, coalesce(tk.pe, []) AS pe, atk.a_s, atk.a_e,
              len(coalesce(tk.ps, [])) AS n, 512 - atk.na AS budget
       FROM documents d LEFT JOIN tk USING (doc_id) JOIN atk USING (doc_id)),
@@ -183,6 +183,31 @@ def q_chunk_offsets(spark, sf_dir):
     return ch.select("sample_id", "chunk_index", "offset_start", "offset_end")
 
 
+@query("chunk_rejects", sql=r"""
+WITH t AS (SELECT doc_id, CASE WHEN doc_id % 7 = 3 THEN NULL ELSE source END AS prompt,
+                  CASE WHEN doc_id % 5 = 1 THEN NULL ELSE text END AS answer FROM documents),
+r AS (SELECT doc_id AS sample_id, CASE WHEN prompt IS NULL THEN 'no prompt' WHEN answer IS NULL THEN 'no answer'
+        WHEN 512 - len(regexp_extract_all(answer, 'TOKEN')) <= 128 THEN 'answer too long' END AS reason FROM t)
+SELECT sample_id, reason FROM r WHERE reason IS NOT NULL
+""".replace("TOKEN", tx.TOKEN_PATTERN))
+def q_chunk_rejects(spark, sf_dir):
+    """Documents as answers to short prompts; nulls put in by id. Every
+    row is either chunked or listed here with its reason."""
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])
+    prompt = F.when(F.col("doc_id") % 7 != 3, F.col("source"))
+    answer = F.when(F.col("doc_id") % 5 != 1, F.col("text"))
+    return tx.rejected_rows(d, "doc_id", prompt, answer)
+
+
+@query("token_vocabulary", sql=r"""
+SELECT 1 + ('0x' || substr(md5(token), 1, 15))::BIGINT AS id, token, count(*) AS n
+FROM (SELECT lower(unnest(regexp_extract_all(text, 'TOKEN'))) AS token FROM documents) GROUP BY token
+""".replace("TOKEN", tx.TOKEN_PATTERN))
+def q_token_vocabulary(spark, sf_dir):
+    """M7: the table that maps token ids back."""
+    return tx.vocabulary(read_table(spark, sf_dir, "documents", ["text"]), "text")
+
+
 @query("split_roundtrip", sql=_PROMPT_SQL.replace("FROM r\n", "FROM r WHERE rk <= floor(0.8 * n)\n", 1)
        .replace("SELECT conv_id, turn, printf", "SELECT * FROM (SELECT conv_id, turn, printf", 1)
        .rstrip() + ") AS t")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kiln.operators import naive_bayes as nb
-from kiln.operators.features import word_shares
+from kiln.operators.features import SPAM_WORDS, word_shares
 from kiln.operators.split import hash_split
 from kiln.operators.stats import count_by, word_count, zero_filled_grid
 from kiln.plans.datasets import labelled_documents
@@ -133,28 +133,65 @@ def q_nb_score_confusion(spark, sf_dir):
         .select("label", "prediction", F.col("n").cast("bigint").alias("n"))
 
 
-@query("nb_ml_metrics")
-def q_nb_ml_metrics(spark, sf_dir):
-    """L4: the library multinomial NB (smoothing 0.1) on the same word shares
-    (word counts -> L1-normalised vectors), fit on train, scored on test:
-    accuracy, weighted F1 and the (smoothed) class priors."""
+_NB_ML_SQL = f"""
+WITH d AS (
+  SELECT d.doc_id, l.toxic AS label, ('0x' || substr(md5('0:' || d.doc_id::varchar), 1, 8))::ubigint < 3435973837 AS train,
+         list_filter(string_split_regex(lower(d.text), '[^a-z]+'), lambda w: w <> '') AS w
+  FROM documents d JOIN labels l USING (doc_id)),
+words AS (SELECT unnest({list(SPAM_WORDS)}) AS word),
+x AS (SELECT doc_id, label, train, word, CASE WHEN len(w) = 0 THEN 0.0 ELSE
+        100.0 * len(list_filter(w, lambda v: v = word)) / len(w) END AS x FROM d CROSS JOIN words),
+pr AS (SELECT label, ln(count(*) + 0.1) - ln(sum(count(*)) OVER () + 0.1 * count(*) OVER ()) AS pi
+       FROM d WHERE train GROUP BY label),
+s AS (SELECT label, word, sum(x) AS s FROM x WHERE train GROUP BY label, word),
+th AS (SELECT label, word, ln(s + 0.1) - ln(sum(s) OVER (PARTITION BY label) + 0.1 * {len(SPAM_WORDS)}) AS theta FROM s)
+"""
+
+
+def _nb_ml(spark, sf_dir):
+    """The library multinomial NB (smoothing 0.1) on the percent shares of the
+    fixed word list, fitted on train; and the scored test rows."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import CountVectorizer, Normalizer
-    from pyspark.sql import Row
+    from pyspark.ml.functions import array_to_vector
 
     from kiln.functions.strings import words
-    from kiln.operators import evaluate as ev
     from kiln.operators.models import naive_bayes
-
-    docs = hash_split(labelled_documents(spark, sf_dir, "toxic"), "doc_id", 0.8, seed=0)
+    docs = hash_split(labelled_documents(spark, sf_dir, "toxic"), "doc_id", 0.8, seed=0) \
+        .withColumn("_w", words("text", "[^a-z]+"))
+    n = F.size("_w")
+    share = [F.when(n > 0, F.lit(100.0) * (n - F.size(F.array_remove("_w", w))) / n).otherwise(F.lit(0.0))
+             for w in SPAM_WORDS]
     d = docs.select("doc_id", F.col("label").cast("double").alias("label"), "split",
-                    words("text").alias("tokens"))
-    pipe = Pipeline(stages=[CountVectorizer(inputCol="tokens", outputCol="counts"),
-                            Normalizer(inputCol="counts", outputCol="features", p=1.0),
-                            naive_bayes(smoothing=ALPHA)])
-    model = pipe.fit(d.where("split = 'train'"))
-    pred = model.transform(d.where("split = 'test'")).select("label", "prediction")
-    m = ev.classification_metrics(ev.confusion(pred, [0.0, 1.0])).first()
-    nbm = model.stages[-1]
-    return spark.createDataFrame([Row(accuracy=float(m["accuracy"]), f1_weighted=float(m["f1_weighted"]),
-                                      pi=[float(p) for p in nbm.pi], n_test=int(m["total"]))])
+                    array_to_vector(F.array(*share)).alias("features"))
+    model = Pipeline(stages=[naive_bayes(smoothing=ALPHA)]).fit(d.where("split = 'train'"))
+    return model.stages[-1], model.transform(d.where("split = 'test'")).select("label", "prediction")
+
+
+@query("nb_ml_model", sql=_NB_ML_SQL + """
+SELECT th.label::INTEGER AS label, th.word, round(pr.pi, 6) AS pi, round(th.theta, 6) AS theta FROM th JOIN pr USING (label)
+""")
+def q_nb_ml_model(spark, sf_dir):
+    """L4: prior and log-probabilities of the library model, against the closed
+    form (its prior is smoothed too)."""
+    m, _ = _nb_ml(spark, sf_dir)
+    theta = m.theta.toArray()                 # classes x 35 fixed words
+    rows = [(c, w, float(m.pi[c]), float(theta[c, j])) for c in range(theta.shape[0]) for j, w in enumerate(SPAM_WORDS)]
+    return spark.createDataFrame(rows, "label int, word string, pi double, theta double") \
+        .select("label", "word", F.round("pi", 6).alias("pi"), F.round("theta", 6).alias("theta"))
+
+
+@query("nb_ml_metrics", sql=_NB_ML_SQL + """
+, sc AS (SELECT x.doc_id, x.label, pr.label AS c, any_value(pr.pi) + sum(x.x * th.theta) AS score
+         FROM x JOIN pr ON true JOIN th ON th.label = pr.label AND th.word = x.word WHERE NOT x.train
+         GROUP BY x.doc_id, x.label, pr.label),
+pd AS (SELECT doc_id, label, c AS prediction FROM (
+         SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, c) AS rn FROM sc) WHERE rn = 1),
+g AS (SELECT a.label, b.label AS prediction FROM pr a CROSS JOIN pr b)
+SELECT g.label::DOUBLE AS label, g.prediction::DOUBLE AS prediction, count(pd.doc_id) AS n
+FROM g LEFT JOIN pd USING (label, prediction) GROUP BY g.label, g.prediction
+""")
+def q_nb_ml_metrics(spark, sf_dir):
+    """L4 + E4: confusion table of the library model on the test rows."""
+    from kiln.operators import evaluate as ev
+    _, scored = _nb_ml(spark, sf_dir)
+    return ev.confusion(scored, [0.0, 1.0])
