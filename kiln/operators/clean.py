@@ -60,16 +60,6 @@ def split_by_correct(df: DataFrame, label: str = "label",
     return df.where(ok), df.where(~ok)
 
 
-def is_empty(df: DataFrame) -> bool:
-    """emptiness check (reads at most one row)."""
-    return df.isEmpty()
-
-
-def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    """Select-and-rename by an old -> new name map, in map order."""
-    return df.select(*[F.col(old).alias(new) for old, new in mapping.items()])
-
-
 def binarise(df: DataFrame, col: str, positive: str, out: str,
              numeric_threshold: float = 0.5) -> DataFrame:
     """``trim(lower(x)) == positive`` -> 1/0; if no row holds a text value

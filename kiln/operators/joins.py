@@ -17,11 +17,6 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def row_count_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows (reads at most limit+1)."""
-    return df.limit(limit + 1).count() <= limit
-
-
 def skew_safe_join(big: DataFrame, small: DataFrame, on: Sequence[str],
                    how: str = "inner", small_rows: int | None = None,
                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,

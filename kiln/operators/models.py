@@ -97,12 +97,12 @@ def fit_evaluate(pipeline: Pipeline, train: DataFrame, test: DataFrame):
     feats = Pipeline(stages=stages[:-1]).fit(train)
     learner = stages[-1]
     cols = [learner.getLabelCol(), learner.getFeaturesCol()]
-    tr = feats.transform(train).select(*cols)
-    n = tr.count()
-    tr = right_sized(tr, n).persist(StorageLevel.MEMORY_AND_DISK)
+    built = feats.transform(train).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    tr = right_sized(built, built.count()).persist(StorageLevel.MEMORY_AND_DISK)     # features are built once
     try:
         fitted = learner.fit(tr)
     finally:
         tr.unpersist()
+        built.unpersist()
     model = PipelineModel(stages=[feats, fitted])
     return model, model.transform(test)

@@ -107,19 +107,19 @@ def score(model: NBModel, features: DataFrame, rows: DataFrame, id_col: str,
 
     The (id, word) x theta join is on ``word``, whose frequent values are hot:
     theta (V x k rows, known from training) is broadcast when that count is
-    within ``max_broadcast_rows``, else it is a shuffle join that AQE splits
-    on skewed words."""
+    within ``max_broadcast_rows``, else the join is salted by the row id."""
     th = model.theta.withColumnRenamed(label, "_class")
     contrib = skew_safe_join(features.select(id_col, "word", "x"), th, ["word"],
                              small_rows=model.n_features * len(model.classes),
-                             max_broadcast_rows=max_broadcast_rows)
+                             max_broadcast_rows=max_broadcast_rows, salt_buckets=16, salt_cols=[id_col])
     dots = contrib.groupBy(id_col, "_class").agg(F.sum(F.col("x") * F.col("theta")).alias("dot"))
     pri = model.prior.select(F.col(label).alias("_class"), "pi")
     per_class = expand_grid(rows.select(id_col), {"_class": model.classes})
     scores = (per_class.join(F.broadcast(pri), "_class")
               .join(dots, [id_col, "_class"], "left")
               .withColumn("score", F.col("pi") + F.coalesce(F.col("dot"), F.lit(0.0))))
+    names = F.array(*[F.lit(c) for c in model.classes])          # ascending: the first wins a tie
     best = scores.groupBy(id_col).agg(
-        F.max(F.struct(F.col("score"), (-F.col("_class")).alias("neg"))).alias("b"))
-    pred = best.select(id_col, (-F.col("b.neg")).alias("prediction"))
+        F.max(F.struct(F.col("score"), (-F.array_position(names, F.col("_class"))).alias("neg"))).alias("b"))
+    pred = best.select(id_col, F.element_at(names, (-F.col("b.neg")).cast("int")).alias("prediction"))
     return rows.join(pred, id_col, "left")

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window

@@ -71,14 +71,25 @@ def hash_rank(df: DataFrame, id_col: str, seed: int | None = None,
     return out.drop("_h")
 
 
+# quantiles that cut the ids into segments, closer together at both ends
+_ID_QUANTILES = (1e-4, 1e-3, 1e-2, *(i / 32 for i in range(1, 32)), 0.99, 0.999, 0.9999)
+
+
 def id_range_bucket(df: DataFrame, id_col: str, buckets: int = ID_BUCKETS) -> Column:
-    """An id-range bucket, non-decreasing in the id (bounds from one min/max
-    aggregate)."""
-    lo, hi = df.agg(F.min(id_col), F.max(id_col)).first()
+    """An id-range bucket, non-decreasing in the id. Ids are cut at their
+    quantiles (one aggregate) and each segment into ranges of equal width, so a
+    few stray ids stretch only the outermost segment. Null ids: null."""
+    lo, hi, q = df.agg(F.min(id_col), F.max(id_col), F.percentile_approx(id_col, list(_ID_QUANTILES), 10_000)).first()
     if lo is None:
         return F.lit(0)
-    width = max(1, -(-(int(hi) - int(lo) + 1) // buckets))
-    return F.floor((F.col(id_col) - F.lit(int(lo))) / F.lit(width)).cast("bigint")
+    edges = sorted({int(lo), int(hi) + 1, *(int(x) for x in q)})
+    per = max(1, buckets // len(edges))
+    widths = [max(1, -(-(b - a) // per)) for a, b in zip(edges[:-1], edges[1:])]
+    c = F.col(id_col).cast("bigint")
+    longs = lambda v: F.array(*[F.lit(x).cast("bigint") for x in v])
+    segment = F.size(F.filter(longs(edges[1:-1]), lambda e: e <= c)) if len(edges) > 2 else F.lit(0)
+    inside = F.floor((c - F.get(longs(edges), segment)) / F.get(longs(widths), segment))
+    return F.when(c.isNotNull(), (segment * F.lit(per) + F.least(inside, F.lit(per - 1))).cast("bigint"))
 
 
 def id_rank(df: DataFrame, id_col: str, partition_by: Sequence[str] = (),
@@ -145,25 +156,22 @@ def sample_k(df: DataFrame, id_col: str, k: int, seed: int = 0) -> DataFrame:
             .orderBy("_h", id_col).limit(k).drop("_h"))
 
 
-def dedup_keep_first(df: DataFrame, keys: Sequence[str], id_col: str,
-                     max_broadcast_rows: int = 5_000_000) -> DataFrame:
+def dedup_keep_first(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
     """Per key (nulls equal), keep the row with the smallest id.
 
-    Exact, without shuffling every key: a first pass groups only a 64-bit
-    hash of the key (partial aggregate, so a key repeated a billion times
-    costs one row per task); only rows whose hash occurs more than once are
-    compared on the full key (hash collisions are resolved there). The ids
-    to drop -- all but the first of each duplicate key -- are written to the
-    shared folder; they are removed by an anti join that is broadcast when
-    their counted number is small, else a shuffle join on the unique id."""
+    The keys themselves are not shuffled: a 256-bit digest stands for them.
+    The first id per digest is a partial aggregate, so a key repeated a
+    billion times costs one row per task; only (id, digest) rows of repeated
+    digests meet their first id, in a plain join that AQE can split on a hot
+    digest. The ids to drop are written to the shared folder and removed by an
+    anti join on the unique id."""
     from kiln.session import materialize
-    hashed = df.select(id_col, *keys).withColumn("_h", F.xxhash64(*keys))
-    shared = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1).select("_h")
-    cand = hashed.join(shared, "_h", "left_semi").drop("_h")   # AQE broadcasts `shared` when small
-    firsts = cand.groupBy(*keys).agg(F.min(id_col).alias(id_col))
-    drop = materialize(cand.select(id_col).join(firsts.select(id_col), id_col, "left_anti"), "dedup-drop")
-    n_drop = drop.count()
-    return df.join(F.broadcast(drop) if n_drop <= max_broadcast_rows else drop, id_col, "left_anti")
+    digest = F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).cast("binary"), 256)
+    hashed = df.select(id_col, digest.alias("_h"))
+    firsts = materialize(hashed.groupBy("_h").agg(F.min(id_col).alias("_first"), F.count(F.lit(1)).alias("_c"))
+                         .where(F.col("_c") > 1).drop("_c"), "dedup-firsts")
+    drop = materialize(hashed.join(firsts, "_h").where(F.col(id_col) != F.col("_first")).select(id_col), "dedup-drop")
+    return df.join(drop, id_col, "left_anti")
 
 
 def largest_remainder(counts: DataFrame, key: str, n_col: str, total: int,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,13 +65,21 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str,
 def typed_frame(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Impose an explicit typed schema on a frame by name (try_cast, so
     a bad value becomes null rather than failing the job under ANSI mode).
-    Non-nullable fields are enforced by dropping rows with nulls there."""
-    cols = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
-    out = df.select(*cols)
+    Rows with a null in a non-nullable field are left out; ``typed_rejects``
+    returns them as they came, with the field at fault."""
+    out = df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
     required = [f.name for f in schema.fields if not f.nullable]
     return out.dropna(subset=required) if required else out
 
 
+def typed_rejects(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows that ``typed_frame`` leaves out, and in ``bad_field`` the
+    first required field that is null or cannot be cast."""
+    bad = F.coalesce(*[F.when(F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+                       for f in schema.fields if not f.nullable], F.lit(None).cast("string"))
+    return df.withColumn("bad_field", bad).where(F.col("bad_field").isNotNull())
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                   mode: str = "overwrite") -> None:
     """Parquet sink; ``partition_by=["split"]`` stores named splits as
@@ -123,7 +131,3 @@ def save_model(model, path: str) -> None:
 def load_pipeline_model(path: str):
     from pyspark.ml import PipelineModel
     return PipelineModel.load(path)
-
-
-def file_col() -> Column:
-    return F.col("_metadata.file_path")

@@ -290,3 +290,20 @@ def test_stream_state_adds_up_and_replays(spark, tmp_path):
     assert [r.n for r in counts] == [15] * 4
     again = mk.run(spark, path, rows.schema, "v", "id", 3, work_dir=str(tmp_path / "again"))
     assert sorted(map(str, mk.final_state(spark, res).collect())) == sorted(map(str, mk.final_state(spark, again).collect()))
+
+
+def test_stray_ids_do_not_fill_one_bucket(spark):
+    from kiln.operators.split import id_range_bucket, id_rank
+    df = spark.range(3000).select(F.col("id").alias("k")).unionByName(
+        spark.createDataFrame([(2**61,), (-(2**61),)], "k long"))
+    b = df.withColumn("b", id_range_bucket(df, "k", 1024))
+    assert b.groupBy("b").count().agg(F.max("count")).first()[0] <= 120
+    ranks = [r["_rank"] for r in id_rank(df, "k").orderBy("k").collect()]
+    assert ranks == list(range(1, 3003))
+
+
+def test_dedup_of_a_hot_key(spark):
+    rows = [(i, "hot" if i % 3 else f"t{i}") for i in range(900)] + [(1000, None), (1001, None), (1002, "")]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(5)
+    kept = sorted(r["id"] for r in sp.dedup_keep_first(df, ["text"], "id").collect())
+    assert kept == sorted([1, 1000, 1002] + list(range(0, 900, 3)))
