@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies; of rows that repeat a
     doc_id, one stays."""
-    found = setsketch.near_duplicates(docs)
+    found = setsketch.near_duplicates(docs).groupBy("doc_id").agg(F.bool_or("kept").alias("kept"))
     out = without(docs, found.where(~F.col("kept")))
     repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     repeated = materialize(repeated.select("doc_id"), "repeated-ids")
