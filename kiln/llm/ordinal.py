@@ -23,10 +23,11 @@ from kiln.llm.textops import codepoints, slices, utf8_buffer
 
 BUCKETS = 1 << 15
 NGRAMS = (1, 2, 3)
-TRAIN_ROWS = 2000                  # graded rows per grade that the fit reads
+TRAIN_ROWS = 1000                  # graded rows per grade that the fit reads
 TRAIN_TEXT_BYTES = 1 << 20
 MAX_GRADES = 20
 STEPS, RATE, MOMENTUM, MIN_TEXTS, DECAY = 150, 30.0, 0.9, 3, 1e-6
+BLOCK = 200                        # texts per block of the fit: bounds its temporaries
 KEEP_AT = 0.5                      # a text is kept when P(grade >= 1) reaches this
 
 
@@ -64,15 +65,32 @@ def fit(texts: list[str], grades: list[int], n_grades: int) -> tuple[np.ndarray,
     n = len(y)
     if not n or n_grades < 2:
         return np.zeros(BUCKETS), np.zeros(max(n_grades - 1, 0))
-    rows, cols, vals = [], [], []
-    for r, text in enumerate(texts):
-        for _, _, c, x in features(pa.array([text], pa.string())):
-            rows.append(np.full(len(c), r, np.int32))
-            cols.append(c)
-            vals.append(x)
-    row, c, x = np.concatenate(rows), np.concatenate(cols), np.concatenate(vals)
-    keep = np.bincount(c, minlength=BUCKETS)[c] >= MIN_TEXTS
-    row, c, x = row[keep], c[keep], x[keep]
+    blocks, seen = [], np.zeros(BUCKETS)          # per block of texts: bucket, value, entries per text
+    for at in range(0, n, BLOCK):
+        cols, vals, sizes = [], [], []
+        for text in texts[at:at + BLOCK]:
+            got = [(c, x) for _, _, c, x in features(pa.array([text], pa.string()))]
+            c, x = (np.concatenate(v) for v in zip(*got))
+            cols.append(c.astype(np.int32))
+            vals.append(x.astype(np.float32))
+            sizes.append(len(c))
+            seen[c] += 1
+        blocks.append((np.concatenate(cols), np.concatenate(vals), np.array(sizes)))
+    for k, (c, x, sizes) in enumerate(blocks):
+        live = seen[c] >= MIN_TEXTS
+        row = np.repeat(np.arange(len(sizes)), sizes)[live]
+        blocks[k] = (c[live], x[live], np.bincount(row, minlength=len(sizes)))
+
+    def latent(w: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.bincount(np.repeat(np.arange(len(s)), s), weights=x * w[c], minlength=len(s))
+                               for c, x, s in blocks])
+
+    def pulled(g: np.ndarray) -> np.ndarray:
+        out = np.zeros(BUCKETS)
+        for k, (c, x, s) in enumerate(blocks):
+            out += np.bincount(c, weights=x * np.repeat(g[k * BLOCK:k * BLOCK + len(s)], s), minlength=BUCKETS)
+        return out
+
     w = np.zeros(BUCKETS)
     theta = np.concatenate([[-(n_grades - 2) / 2], np.zeros(n_grades - 2)])    # first, log steps
     m_w, m_t = np.zeros(BUCKETS), np.zeros(n_grades - 1)
@@ -81,7 +99,7 @@ def fit(texts: list[str], grades: list[int], n_grades: int) -> tuple[np.ndarray,
     rate, last, back = RATE, np.inf, (w.copy(), theta.copy())
     for _ in range(STEPS):
         cut = np.cumsum(np.concatenate([theta[:1], np.exp(theta[1:])]))
-        z = np.bincount(row, weights=x * w[c], minlength=n)
+        z = latent(w)
         upper = np.where(y > 0, _sigmoid(z - cut[np.maximum(y - 1, 0)]), 1.0)          # P(grade >= y)
         lower = np.where(y < n_grades - 1, _sigmoid(z - cut[np.minimum(y, n_grades - 2)]), 0.0)   # P(grade > y)
         p = np.maximum(upper - lower, 1e-9)
@@ -99,7 +117,7 @@ def fit(texts: list[str], grades: list[int], n_grades: int) -> tuple[np.ndarray,
                           minlength=n_grades - 1)
         g_t = np.cumsum(g_cut[::-1])[::-1]
         g_t = np.concatenate([g_t[:1], g_t[1:] * np.exp(theta[1:])])
-        m_w = MOMENTUM * m_w + np.bincount(c, weights=x * g_z[row], minlength=BUCKETS) + DECAY * w
+        m_w = MOMENTUM * m_w + pulled(g_z) + DECAY * w
         m_t = MOMENTUM * m_t + g_t
         w -= rate * m_w
         theta -= min(rate, 0.3) * m_t

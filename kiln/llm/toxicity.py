@@ -26,6 +26,7 @@ TRAIN_ROWS = 2000                  # labelled rows per class that the fit reads
 TRAIN_TEXT_BYTES = 1 << 20         # longer texts are left out of the fit (not of scoring)
 STEPS, RATE, OUT_RATE, MOMENTUM = 150, 120.0, 0.05, 0.9
 PRIOR, MIN_TEXTS, DECAY = 10.0, 5, 1e-5
+BLOCK = 200                        # texts per block of the fit: bounds its temporaries
 THRESHOLD = 0.7
 
 # words: runs of letters, digits and non-ASCII bytes
@@ -88,37 +89,51 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> tuple[np.ndarray,
     n = len(y)
     if not n or y.min() == y.max():
         return np.zeros(BUCKETS), 8.0 if n and y.max() else -8.0
-    cols, vals, sizes = [], [], np.zeros(n, int)
-    for r, text in enumerate(texts):
-        for _, words, ids, of, _, word, weight in _bags(pa.array([text], pa.string())):
-            per_word = np.zeros(words)
-            per_word[word] = weight
-            dense = np.bincount(ids, weights=(per_word / np.maximum(np.bincount(of, minlength=words), 1))[of], minlength=BUCKETS)
+    blocks = []                  # of texts: bucket and value of every n-gram, n-grams per text
+    seen, square = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for at in range(0, n, BLOCK):
+        cols, vals, sizes = [], [], []
+        for text in texts[at:at + BLOCK]:
+            dense = np.zeros(BUCKETS)
+            for _, words, ids, of, _, word, weight in _bags(pa.array([text], pa.string())):
+                per_word = np.zeros(words)
+                per_word[word] = weight
+                dense += np.bincount(ids, weights=(per_word / np.maximum(np.bincount(of, minlength=words), 1))[of],
+                                     minlength=BUCKETS)
             nz = np.flatnonzero(dense)
             cols.append(nz.astype(np.int32))
-            vals.append(dense[nz])
-            sizes[r] = len(nz)
-    c, x = np.concatenate(cols), np.concatenate(vals)
-    row = np.repeat(np.arange(n, dtype=np.int32), sizes)
-    seen = np.bincount(c, minlength=BUCKETS)
-    keep = seen[c] >= MIN_TEXTS
-    c, x, row = c[keep], x[keep], row[keep]
-    scale = 1 / np.sqrt(np.maximum(np.sqrt(np.bincount(c, weights=x * x, minlength=BUCKETS) / n), 1e-9))
-    x = x * scale[c]
-    unit = np.sqrt(max((np.bincount(row, weights=x * x, minlength=n)).mean(), 1e-12))
-    x /= unit
+            vals.append(dense[nz].astype(np.float32))
+            sizes.append(len(nz))
+            seen[nz] += 1
+            square[nz] += dense[nz] ** 2
+        blocks.append((np.concatenate(cols), np.concatenate(vals), np.array(sizes)))
+    scale = np.where(seen >= MIN_TEXTS, 1 / np.sqrt(np.maximum(np.sqrt(square / n), 1e-9)), 0.0)
+    norm = 0.0
+    for k, (c, x, sizes) in enumerate(blocks):
+        row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        live = scale[c] > 0
+        c, row, x = c[live], row[live], (x[live] * scale[c[live]]).astype(np.float32)
+        norm += float((x.astype(np.float64) ** 2).sum())
+        blocks[k] = (c, x, np.bincount(row, minlength=len(sizes)))
+    unit = np.sqrt(max(norm / n, 1e-12))
     emb, out, bias = rng.normal(0, 0.01, (BUCKETS, DIM)), rng.normal(0, 0.5, (DIM, 2)), np.zeros(2)
     out /= np.linalg.norm(out[:, 1] - out[:, 0])
     m_emb, m_out, m_bias = np.zeros_like(emb), np.zeros_like(out), np.zeros(2)
     share = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / n
     for _ in range(STEPS):
-        z = np.bincount(row, weights=x * (emb @ (out[:, 1] - out[:, 0]))[c], minlength=n) + bias[1] - bias[0]
-        delta = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) * share      # of class 1; class 0 is its negative
-        pull = np.bincount(c, weights=x * delta[row], minlength=BUCKETS)
+        v = emb @ (out[:, 1] - out[:, 0]) / unit
+        pull, total = np.zeros(BUCKETS), 0.0
+        for k, (c, x, sizes) in enumerate(blocks):
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            of = slice(k * BLOCK, k * BLOCK + len(sizes))
+            z = np.bincount(row, weights=x * v[c], minlength=len(sizes)) + bias[1] - bias[0]
+            delta = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y[of]) * share[of]      # of class 1; class 0: its negative
+            pull += np.bincount(c, weights=x * delta[row], minlength=BUCKETS) / unit
+            total += delta.sum()
         m_emb = MOMENTUM * m_emb + pull[:, None] * (out[:, 1] - out[:, 0]) + DECAY * emb
         g = emb.T @ pull
         m_out = MOMENTUM * m_out + np.stack([-g, g], axis=1)
-        m_bias = MOMENTUM * m_bias + np.array([-delta.sum(), delta.sum()])
+        m_bias = MOMENTUM * m_bias + np.array([-total, total])
         emb -= RATE * m_emb
         out -= OUT_RATE * m_out
         bias -= OUT_RATE * m_bias
