@@ -1,7 +1,7 @@
 """Vectorised text helpers used inside Arrow-batched tasks.
 
 They work on the raw UTF-8 buffer of an Arrow string column (null counts as
-empty), in slices of a few MB, so numpy temporaries stay small whatever the
+empty), in slices of half a MB, so numpy temporaries stay small whatever the
 batch holds. A single text longer than a slice is a slice of its own."""
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
