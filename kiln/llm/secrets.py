@@ -6,7 +6,9 @@ measured as its marginal compressed size: the bytes that Zstandard needs for
 the surrounding text with the candidate, less those for the surroundings
 alone, both primed with a dictionary of the corpus's identifiers. Names and
 words that the corpus or the surroundings know cost a few bytes; a random key
-costs nearly its length and is reported as kind ``novel``.
+costs nearly its length and is reported as kind ``novel``. No string that is a
+candidate in any document enters the dictionary, so a key is as new in its
+thousandth copy as in its first.
 
 Positions are code points, ends exclusive."""
 
@@ -37,7 +39,9 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}", re.ASCII)
 REACH = 64                         # code points after a sensitive word in which a candidate starts
 AROUND = 256                       # code points of surroundings on either side
 NOVELTY = 0.6                      # marginal compressed bytes per character of a reported string
-IDENTIFIER = "[A-Za-z_][A-Za-z0-9_]{11,}"
+RUN = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9_]{12,}", re.ASCII)    # an identifier after any leading digits
+IDENTIFIER_LENGTHS = range(12, 65)
+COUNTED = 50_000                   # identifiers a task holds before it sends their counts on
 DICT_WORDS, DICT_BYTES = 8192, 112 << 10
 
 Span = tuple[str, int, int]
@@ -68,38 +72,72 @@ def novelty(text: str, start: int, end: int, compressor: zstandard.ZstdCompresso
     return (len(compressor.compress(around + b"\n" + found)) - len(compressor.compress(around))) / max(len(found), 1)
 
 
-def novel_spans(text: str, taken: list[Span], compressor: zstandard.ZstdCompressor) -> list[Span]:
-    """Incompressible strings in a sensitive context that no base span covers.
-    A candidate mixes letters and digits, as keys do."""
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Strings in a sensitive context that may be keys: they mix letters and
+    digits."""
     low = text.lower()
     if not any(w in low for w in SENSITIVE):
-        return []
-    out: list[Span] = []
+        return
     done = 0
     for word in SENSITIVE_RE.finditer(text):
         for m in CANDIDATE.finditer(text, max(word.end(), done)):
             if m.start() > word.end() + REACH:
                 break
             done = m.end()
-            s = m[0]
-            if any(a < m.end() and m.start() < b for _, a, b in taken) or s.isalpha() or \
-                    not any(c.isdigit() for c in s) or not any(c.isalpha() for c in s):
-                continue
-            if novelty(text, m.start(), m.end(), compressor) >= NOVELTY:
-                out.append(("novel", m.start(), m.end()))
-    return out
+            if any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0]):
+                yield m.start(), m.end()
+
+
+def novel_spans(text: str, taken: list[Span], compressor: zstandard.ZstdCompressor) -> list[Span]:
+    """Incompressible candidates that no base span covers."""
+    return [("novel", a, b) for a, b in candidates(text)
+            if not any(x < b and a < y for _, x, y in taken) and novelty(text, a, b, compressor) >= NOVELTY]
 
 
 def text_of(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
+def identifiers(text: str) -> Iterator[tuple[str, bool]]:
+    """(identifier, whether it is a candidate or part of one)."""
+    spans = list(candidates(text))
+    for m in RUN.finditer(text):
+        word = m[0].lstrip("0123456789")
+        if len(word) in IDENTIFIER_LENGTHS:
+            yield word, any(a < m.end() and m.start() < b for a, b in spans)
+
+
+def _count_identifiers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sent(found: dict[str, list]) -> pa.RecordBatch:
+        cols = list(zip(*found.values()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(found.keys(), pa.string()), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.bool_()),
+             pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())], names=["w", "n", "candidate", "low", "high"])
+
+    found: dict[str, list] = {}
+    for batch in batches:
+        for value in batch.column("text"):
+            text = value.as_py() or ""
+            digest = int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "big", signed=True)
+            for word, candidate in identifiers(text):
+                had = found.setdefault(word, [0, False, digest, digest])
+                had[:] = had[0] + 1, had[1] or candidate, min(had[2], digest), max(had[3], digest)
+            if len(found) >= COUNTED:
+                yield sent(found)
+                found = {}
+    if found:
+        yield sent(found)
+
+
 def identifier_dictionary(docs: DataFrame) -> bytes:
     """The corpus's most used identifiers, joined, the most used last (nearest
-    to the text); counted over all documents, at most ``DICT_BYTES``."""
-    words = docs.select(F.explode(F.regexp_extract_all("text", F.lit(f"({IDENTIFIER})"), F.lit(1))).alias("w")) \
-        .where(F.length("w") <= 64)
-    top = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
+    to the text), at most ``DICT_BYTES``: those of at least two distinct texts
+    (their least and greatest digest differ) that are no part of a candidate
+    in any document. Counted over all documents."""
+    words = docs.select("text").mapInArrow(_count_identifiers, "w string, n long, candidate boolean, low long, high long")
+    top = words.groupBy("w").agg(F.sum("n").alias("n"), F.max("candidate").alias("candidate"),
+                                 F.min("low").alias("low"), F.max("high").alias("high")) \
+        .where("not candidate and low <> high") \
         .orderBy(F.desc("n"), "w").limit(DICT_WORDS).collect()
     joined, size = [], 0
     for r in top:

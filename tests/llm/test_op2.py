@@ -62,3 +62,20 @@ def test_novel_strings_need_context_and_novelty():
     (_, a, b), = find(t)
     assert t[a:b] == key
     assert secrets.novel_spans(f"key {key}", [("hex", 4, 44)], c) == []
+
+
+def test_copies_of_a_key_stay_new(spark):
+    rng = random.Random(4)
+    key = "".join(rng.choice(string.ascii_uppercase + string.digits) for _ in range(36))
+    key = "A8" + key[2:]
+    for copies in (2, 1000):
+        for tail in ("", " copy {}"):                       # equal texts, and texts that differ
+            rows = [(i, f"Authorization: Bearer {key} end" + tail.format(i)) for i in range(copies)]
+            # words of two texts are known; the same text twice says nothing
+            rows += [(copies + i, f"call internationalization42handler here {i}") for i in range(2)]
+            rows += [(copies + 2, f"{key} stands alone"), (copies + 3, f"or {key} again")]
+            df = spark.createDataFrame(rows, "doc_id long, text string")
+            words = secrets.identifier_dictionary(df).decode().split()
+            assert "internationalization42handler" in words and key not in words
+            got = {r.doc_id: r.spans for r in secrets.scan_secrets(df).collect()}
+            assert {got[i] for i in range(copies)} == {"novel:22:58"}
