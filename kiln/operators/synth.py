@@ -3,8 +3,9 @@
 Per class and column: exact ranks (``ordered_scan``; buckets are approximate
 quantiles of the column within the class, so a class holding a third of the
 rows is still spread over many tasks) -> normal scores ``Phi^-1(r/(n+1))``
--> the p x p correlation of the scores per class (p*(p-1)/2 ``corr``
-aggregates; k small matrices go to the driver) -> Cholesky factor per class.
+-> the p x p correlation of the scores per class (sums of products, added up
+per Arrow batch and then per class; k small matrices go to the driver) ->
+Cholesky factor per class. The ranked rows are written once and read back.
 Synthetic rows are drawn on the executors: ``spark.range(N)``, a class by
 cumulative quota, p seeded normal draws mixed by the class's factor, mapped
 to ``u = Phi(z)`` and back to data values by the empirical quantile -- an
@@ -17,15 +18,17 @@ inverse after sampling cancel out, so they are not applied separately.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.operators.ordered import ordered_scan
 from kiln.operators.split import largest_remainder
 from kiln.operators.stats import count_by
+from kiln.session import materialize
 
 # ---- fixed values: coefficients of published approximations ---------------
 # Inverse normal CDF, rational approximation by P. J. Acklam (no refinement step;
@@ -87,31 +90,81 @@ def _ranked_long(df: DataFrame, id_col: str, label: str, cols: Sequence[str],
                         rank_col="rank", size_col="n").drop("_bounds")
 
 
+def _matrix(column: pa.Array, p: int) -> np.ndarray:
+    """An array column of ``p`` doubles a row as a matrix; null is NaN."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, p)
+
+
+def _pair_sums(p: int):
+    """Per class code and pair (a, b) of columns, over the rows where both are
+    present: rows, sum of a, sum of a squared, sum of a*b."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            z, code = _matrix(batch.column("z"), p), batch.column("code").to_numpy()
+            for c in np.unique(code):
+                x = z[code == c]
+                there = (~np.isnan(x)).astype(np.float64)
+                x = np.nan_to_num(x)
+                part = np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
+                sums[c] = sums[c] + part if c in sums else part
+        a, b = (pa.array(i.ravel().astype(np.int32)) for i in np.indices((p, p)))
+        for c, m in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(p * p, c, np.int32)), a, b, *[pa.array(m[i].ravel()) for i in range(4)]],
+                                             names=["code", "a", "b", "n", "sa", "saa", "sab"])
+    return run
+
+
 def fit_copula(df: DataFrame, id_col: str, label: str, cols: Sequence[str],
                quantile_buckets: int = 64):
-    """Fit: ranked long table (kept lazy) and, per class, the Cholesky factor
+    """Fit: ranked long table (written once) and, per class, the Cholesky factor
     of the normal-score correlation (k small matrices, collected)."""
-    ranked = _ranked_long(df, id_col, label, cols, quantile_buckets)
+    ranked = materialize(_ranked_long(df, id_col, label, cols, quantile_buckets)
+                         .select(label, "j", id_col, "value", "rank", "n"), "copula-ranked")
     z = ranked.withColumn("z", norm_ppf(F.col("rank") / (F.col("n") + F.lit(1.0))))
     p = len(cols)
+    classes = [r[0] for r in df.select(label).distinct().collect()]        # k classes
+    code = F.coalesce(*[F.when(F.col(label).eqNullSafe(F.lit(c)), F.lit(i)) for i, c in enumerate(classes)]) \
+        if classes else F.lit(None).cast("int")
     wide = z.groupBy(label, id_col).agg(*[F.max(F.when(F.col("j") == j, F.col("z"))).alias(f"z{j}")
                                           for j in range(p)])
-    pairs = [(a, b) for a in range(p) for b in range(a + 1, p)]
-    corr = wide.groupBy(label).agg(*[F.corr(f"z{a}", f"z{b}").alias(f"c{a}_{b}") for a, b in pairs]) \
-        .collect()
+    sums = wide.select(code.alias("code"), F.array(*[f"z{j}" for j in range(p)]).alias("z")) \
+        .mapInArrow(_pair_sums(p), "code int, a int, b int, n double, sa double, saa double, sab double") \
+        .groupBy("code", "a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "saa", "sab")])
+    found = {c: np.zeros((4, p, p)) for c in range(len(classes))}
+    for r in sums.collect():                                               # k * p * p rows
+        found[r.code][:, r.a, r.b] = r.n, r.sa, r.saa, r.sab
     factors = {}
-    for row in corr:
-        m = np.eye(p)
-        for a, b in pairs:
-            v = row[f"c{a}_{b}"]
-            m[a, b] = m[b, a] = 0.0 if v is None or math.isnan(v) else v
+    for c, (n, sa, saa, sab) in found.items():
+        with np.errstate(divide="ignore", invalid="ignore"):
+            spread = saa - sa * sa / n
+            m = (sab - sa * sa.T / n) / np.sqrt(spread * spread.T)
+        m = np.where(np.isfinite(m), m, 0.0)
+        np.fill_diagonal(m, 1.0)
         w, vecs = np.linalg.eigh(m)                 # keep the matrix positive definite
         m = vecs @ np.diag(np.clip(w, 1e-9, None)) @ vecs.T
         d = np.sqrt(np.diag(m))
-        factors[row[label]] = np.linalg.cholesky(m / np.outer(d, d)).tolist()
+        factors[classes[c]] = np.linalg.cholesky(m / np.outer(d, d)).tolist()
     return ranked, factors
 
 
+def _mixed(factors: list, p: int):
+    """Independent normal draws times the factor of the row's class."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lower = [np.array(f) for f in factors]
+        for batch in batches:
+            e, code = _matrix(batch.column("e"), p), batch.column("_ci").to_numpy()
+            z = np.empty_like(e)
+            for c in np.unique(code):
+                # column by column: a row's sums do not depend on which rows share its batch
+                x = e[code == c]
+                z[code == c] = np.stack([(x[:, :i + 1] * lower[c][i, :i + 1]).cumsum(axis=1)[:, -1] for i in range(p)], axis=1)
+            offsets = pa.array(np.arange(len(z) + 1, dtype=np.int32) * p)
+            yield pa.RecordBatch.from_arrays([batch.column("sid"), batch.column("_ci"),
+                                              pa.ListArray.from_arrays(offsets, pa.array(z.ravel()))], names=["sid", "_ci", "z"])
+    return run
+
+
 def sample_copula(df: DataFrame, id_col: str, label: str, cols: Sequence[str], n_rows: int,
                   seed: int = 0, quantile_buckets: int = 64, partitions: int | None = None) -> DataFrame:
     """G6 + G7: ``n_rows`` synthetic rows, classes in proportion to the source
@@ -128,21 +181,15 @@ def sample_copula(df: DataFrame, id_col: str, label: str, cols: Sequence[str], n
     base = spark.range(0, n_rows, 1, parts).withColumnRenamed("id", "sid")
     cidx = F.size(F.filter(F.array(*[F.lit(c) for c in cum]), lambda c: c <= F.col("sid")))
     base = base.withColumn("_ci", cidx)
-    lmats = F.array(*[F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in factors[c]])
-                      for c in classes])
     # normal draws from hash uniforms: the same rows whatever the partitioning
-    eps = [norm_ppf((F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}:{j}"), F.col("sid").cast("string"))),
-                                        1, 8), 16, 10).cast("double") + 0.5) / 4294967296.0) for j in range(p)]
-    syn = base.select("sid", F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("_ci") + 1)
-                      .alias(label), F.element_at(lmats, F.col("_ci") + 1).alias("_L"), *[e.alias(f"_e{j}") for j, e in enumerate(eps)])
-    for i in range(p):
-        zi = None
-        for j in range(i + 1):
-            t = F.col("_L")[i][j] * F.col(f"_e{j}")
-            zi = t if zi is None else zi + t
-        syn = syn.withColumn(f"_u{i}", norm_cdf(zi))
-    long = syn.select("sid", label, F.posexplode(F.array(*[F.col(f"_u{i}") for i in range(p)]))
-                      .alias("j", "u"))
+    draws = F.transform(F.sequence(F.lit(0), F.lit(p - 1)), lambda j: (F.conv(F.substring(F.md5(
+        F.concat_ws(":", F.lit(str(seed)), j.cast("string"), F.col("sid").cast("string"))), 1, 8), 16, 10)
+        .cast("double") + 0.5) / 4294967296.0)
+    syn = base.select("sid", "_ci", F.transform(draws, norm_ppf).alias("e")) \
+        .mapInArrow(_mixed([factors[c] for c in classes], p), "sid long, _ci int, z array<double>")
+    long = syn.select("sid", F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("_ci") + 1).alias(label),
+                      F.posexplode("z").alias("j", "_z")) \
+        .select("sid", label, "j", norm_cdf(F.col("_z")).alias("u"))
     sizes = ranked.select(label, "j", "n").distinct()
     long = long.join(F.broadcast(sizes), [label, "j"]).withColumn(
         "rank", F.least(F.greatest(F.ceil(F.col("u") * F.col("n")), F.lit(1)), F.col("n")).cast("bigint"))

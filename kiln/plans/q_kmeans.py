@@ -16,6 +16,7 @@ from kiln.plans.registry import query
 from kiln.sources.io import read_table
 
 D_CONT = 4
+N_SYNTH = 100_000
 N_SCORES = 10
 
 
@@ -170,11 +171,12 @@ def q_sample_category(spark, sf_dir):
 
 @query("copula_synth")
 def q_copula_synth(spark, sf_dir):
-    """G6 + G7: 100,000 synthetic rows of the first 4 embedding dims, classes
-    in proportion to the labels, each class from its own Gaussian copula
-    with empirical marginals."""
+    """G6 + G7: synthetic rows of all embedding dims, as many as the source
+    has and 100,000 at least, classes in proportion to the labels, each class
+    from its own Gaussian copula with empirical marginals."""
     from kiln.operators.synth import sample_copula
     e = _emb(spark, sf_dir)
-    src = e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"x{i}")
-                                        for i in range(D_CONT)])
-    return sample_copula(src, "vec_id", "label", [f"x{i}" for i in range(D_CONT)], 100_000, seed=0)
+    size = e.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dims")).first()
+    names = [f"x{i}" for i in range(size.dims or 0)]
+    src = e.select("vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(x) for i, x in enumerate(names)])
+    return sample_copula(src, "vec_id", "label", names, max(N_SYNTH, size.n), seed=0)

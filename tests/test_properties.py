@@ -268,6 +268,21 @@ def test_copula_ties_do_not_line_up(spark):
     assert abs(np.corrcoef(one.x, one.y)[0, 1] - np.corrcoef(a, b)[0, 1]) < 0.1
 
 
+def test_copula_query_takes_all_dims_and_rows(spark, tmp_path, monkeypatch):
+    import numpy as np
+
+    from kiln.plans import q_kmeans
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(600, 7))
+    x[:, 6] = 0.9 * x[:, 0] + 0.4 * x[:, 6]
+    rows = [(i, i % 2, [float(v) for v in r]) for i, r in enumerate(x)]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    monkeypatch.setattr(q_kmeans, "N_SYNTH", 500, raising=False)
+    out = q_kmeans.q_copula_synth(spark, str(tmp_path)).toPandas()
+    assert list(out.columns) == ["sid", "label", *[f"x{i}" for i in range(7)]] and sorted(out.sid) == list(range(600))
+    assert abs(np.corrcoef(out.x0, out.x6)[0, 1] - np.corrcoef(x[:, 0], x[:, 6])[0, 1]) < 0.1
+
+
 def test_knn_of_a_far_query(spark):
     from kiln.operators.neighbors import knn
     refs = spark.createDataFrame([(i, [float(i), 0.0], 0) for i in range(20)], "id long, v array<double>, label int")
