@@ -4,13 +4,15 @@ A k-mer of characters is a closed syncmer when the smallest of its inner
 s-mers (by hash) is its first or its last one. Whether a k-mer is chosen
 depends on nothing but the k-mer, so a passage keeps its anchors wherever it
 stands and at least one is found in every k - s + 1 consecutive positions.
-``anchors`` gives them with their positions; the fingerprint of a text is a
-bottom sketch (the ``KEEP`` smallest distinct hashes) of its anchors, from
-which the likeness of two texts is estimated."""
+``anchors`` gives them with their positions. The likeness of two texts is the
+part of all their anchors that they share in the same order, with a shorter k
+when one of them is short. The printed fingerprint of a text is a bottom sketch
+(the ``KEEP`` smallest distinct hashes) of its anchors."""
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,29 +26,34 @@ from kiln.llm.textops import codepoints, mix64, span_hashes, utf8_buffer
 
 K, S = 16, 8
 KEEP = 64
+SHORT = ((8, 0), (16, 1), (64, 2), (512, 4))    # below so many code points likeness takes this s; k = 2 s, 1 for 0
 PART_BYTES = 32 << 20              # text per range of doc_id when neighbours are paired
 MAX_PARTS = 100_000                # ranges at most (their first ids meet on the driver)
 CUT_SAMPLE = 200_000               # ids from which the range limits are estimated
 
 
-def syncmers(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hashes) of the closed syncmers of a text of code points; a
-    text shorter than K is its own single anchor, an empty one has none."""
-    n = len(cp)
+def syncmers(cp: np.ndarray, s: int = S) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, hashes) of the closed syncmers (k = 2 s) of a text of code
+    points; a text shorter than k is its own single anchor, an empty one has
+    none. For s = 0 every character is an anchor."""
+    n, k = len(cp), 2 * s
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    if n < K:
+    if s == 0:
+        at = np.arange(n)
+        return at, span_hashes(cp, at, at + 1)
+    if n < k:
         return np.zeros(1, np.int64), span_hashes(cp, np.array([0]), np.array([n]))
-    at = np.arange(n - S + 1)
-    inner = span_hashes(cp, at, at + S)
-    w = K - S + 1
-    low = inner[1:n - K + 2].copy()            # smallest of the inner s-mers 1 .. w - 2
+    at = np.arange(n - s + 1)
+    inner = span_hashes(cp, at, at + s)
+    w = k - s + 1
+    low = inner[1:n - k + 2].copy()            # smallest of the inner s-mers 1 .. w - 2 (w = 2: every k-mer is chosen)
     for j in range(2, w - 1):
-        np.minimum(low, inner[j:j + n - K + 1], out=low)
-    first, last = inner[:n - K + 1], inner[w - 1:w - 1 + n - K + 1]
+        np.minimum(low, inner[j:j + n - k + 1], out=low)
+    first, last = inner[:n - k + 1], inner[w - 1:w - 1 + n - k + 1]
     pos = np.flatnonzero(np.minimum(first, last) <= low)
-    # the k-mer from its two halves' s-mer hashes (K = 2 S)
-    return pos, mix64(inner[pos] * np.uint64(0x9E3779B97F4A7C15) + inner[pos + S])
+    # the k-mer from its two halves' s-mer hashes
+    return pos, mix64(inner[pos] * np.uint64(0x9E3779B97F4A7C15) + inner[pos + s])
 
 
 def _sketch(hashes: np.ndarray) -> np.ndarray:
@@ -71,6 +78,56 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return 2 * j / (1 + j)
 
 
+class Text:
+    """Code points and their anchors, sorted by hash once per s."""
+
+    def __init__(self, cp: np.ndarray) -> None:
+        self.cp = cp
+        self._sorted: dict[int, tuple] = {}
+        self.fingerprint = _sketch(self.anchors(S)[1])
+
+    def anchors(self, s: int) -> tuple:
+        """(places in text order, distinct hashes, first place and count of each)."""
+        if s not in self._sorted:
+            h = syncmers(self.cp, s)[1]
+            order = np.argsort(h, kind="stable")
+            self._sorted[s] = (order, *np.unique(h[order], return_index=True, return_counts=True))
+        return self._sorted[s]
+
+
+def _rising(seq: np.ndarray) -> int:
+    """Length of the longest rising subsequence."""
+    if np.all(seq[1:] > seq[:-1]):
+        return len(seq)
+    ends: list[int] = []
+    for x in seq.tolist():
+        i = bisect_left(ends, x)
+        ends[i:i + 1] = [x]
+    return len(ends)
+
+
+def alike(a: Text, b: Text) -> float:
+    """Shared part of two texts: the anchors that both have in the same order,
+    twice, per anchor of either (Dice); two empty texts are alike. An anchor
+    that repeats is matched by its count from the start or from the end of the
+    texts, whichever gives the longer chain, so work stays near linear."""
+    short = min(len(a.cp), len(b.cp))
+    if not short:
+        return float(len(a.cp) == len(b.cp))
+    s = next((s for n, s in SHORT if short < n), S)
+    (oa, ua, fa, ca), (ob, ub, fb, cb) = a.anchors(s), b.anchors(s)
+    _, ia, ib = np.intersect1d(ua, ub, assume_unique=True, return_indices=True)
+    n = np.minimum(ca[ia], cb[ib])
+    total, best = int(n.sum()), 0
+    nth = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
+    for back in (0, 1):
+        if best < total:
+            pa_ = oa[np.repeat(fa[ia] + back * (ca[ia] - n), n) + nth]
+            pb_ = ob[np.repeat(fb[ib] + back * (cb[ib] - n), n) + nth]
+            best = max(best, _rising(pb_[np.argsort(pa_)]))
+    return 2 * best / (len(oa) + len(ob))
+
+
 def text_fingerprint(cp: np.ndarray) -> np.ndarray:
     return _sketch(syncmers(cp)[1])
 
@@ -97,13 +154,13 @@ _TYPES = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.floa
 
 
 def _pair(this: tuple, after: tuple) -> tuple:
-    doc_id, cp, fp = this
-    _, next_cp, next_fp = after
+    doc_id, text = this
+    _, following = after
+    cp = text.cp
     half = len(cp) // 2
-    edited = np.concatenate([cp[:len(cp) - half], next_cp[:half]])
-    efp = text_fingerprint(edited)
-    sha = hashlib.sha256(edited.tobytes().decode("utf-32-le").encode("utf-8")).hexdigest()
-    return (doc_id, len(cp), sha, _hex(fp), _hex(efp), likeness(fp, efp), likeness(fp, next_fp))
+    edited = Text(np.concatenate([cp[:len(cp) - half], following.cp[:half]]))
+    sha = hashlib.sha256(edited.cp.tobytes().decode("utf-32-le").encode("utf-8")).hexdigest()
+    return (doc_id, len(cp), sha, _hex(text.fingerprint), _hex(edited.fingerprint), alike(text, edited), alike(text, following))
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +174,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = batch.column("doc_id").to_pylist()
         for i in range(len(ids)):
             cp, _ = codepoints(data[off[i]:off[i + 1]], np.array([0, off[i + 1] - off[i]]))
-            here = (ids[i], cp, text_fingerprint(cp))
+            here = (ids[i], Text(cp))
             if before is not None and before_part == parts[i]:
                 rows.append(_pair(before, here))
             before, before_part = (here, parts[i]) if not kinds[i] else (None, None)
@@ -128,8 +185,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_chars, sha256 of the edited
     text (its last half replaced by the start of the next document's), both
-    fingerprints and the likeness of the text to its edited form and to the
-    next text.
+    fingerprints and the likeness (``alike``) of the text to its edited form and
+    to the next text.
 
     Documents follow each other by doc_id (null first), rows that repeat a
     doc_id by text; after the last comes the first, and a single document

@@ -82,3 +82,25 @@ def test_likeness_follows_overlap():
 def test_anchors(docs):
     rows = syncmers.anchors(docs).where("doc_id in (2, 5, 6, 8)").collect()
     assert {r.doc_id for r in rows} == {2, 8} and [r.pos for r in rows if r.doc_id == 8] == [0]
+
+
+def test_likeness_from_all_anchors_in_order(spark):
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    alike = lambda a, b: syncmers.alike(syncmers.Text(cps(a)), syncmers.Text(cps(b)))
+    # a text's first half is found again at every length
+    for n in (1, 2, 3, 7, 8, 15, 16, 20, 30, 31, 50, 63, 64, 200, 511, 512, 2000):
+        t = letters(n)
+        assert alike(t, t) == 1 and alike(t, t[:n - n // 2] + "0" * (n // 2)) > 0.2
+        assert alike(t, t[:n - n // 2]) > 0.2
+    # a common passage of 1 % in long texts is always found
+    for _ in range(5):
+        passage = letters(600)
+        assert 0.005 < alike(letters(30000) + passage + letters(30000), letters(10000) + passage + letters(50000)) < 0.02
+    # the same parts in another order are less alike
+    parts = [letters(400) for _ in range(8)]
+    assert alike("".join(parts), "".join(reversed(parts))) < 0.2
+    assert alike("ab" * 30000, "ab" * 20000) > 0.7
+    rows = [(i, letters(24)) for i in range(30)]
+    got = syncmers.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert min(r.near_edited for r in got) > 0.2
