@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import (langid, mixing, ordinal, phrase_index, ring, secrets, setsketch, syncmers,
-                      toxicity, warc)
+from kiln.llm import (langid, mixing, ordinal, phrase_index, prefix_trie, ring, runs, secrets, setsketch,
+                      syncmers, toxicity, voronoi, warc)
 from kiln.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +196,60 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_syncmer_fingerprints")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+# -- 11 ----------------------------------------------------------------------
+
+OP11_SQL = r"""
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 50 = 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM k WHERE rank <= 5
+"""
+
+
+@query("op11_voronoi_knn", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi.embedding_neighbours(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+# -- 12 ----------------------------------------------------------------------
+
+OP12_SQL = r"""
+WITH t AS (SELECT conv_id, turn, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS x FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(x ORDER BY turn NULLS FIRST, x.role, x.text) AS xs FROM t GROUP BY conv_id),
+c AS (SELECT conv_id, xs, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(
+             [[ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR x IN string_split(conv_id::VARCHAR, '')])),
+             lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295) % 6 AS h FROM o),
+r AS (SELECT c.conv_id, list_concat(coalesce(b.xs, [])[1:c.h], c.xs[c.h + 1:]) AS xs
+      FROM c LEFT JOIN o b ON b.conv_id = c.conv_id - c.conv_id % 100),
+p AS (SELECT conv_id, len(xs) AS n, unnest(range(0, len(xs) + 1)) AS d, xs FROM r),
+nodes AS (SELECT d, xs[1:d] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+                 coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '') AS ends
+          FROM p GROUP BY d, xs[1:d]),
+kids AS (SELECT d - 1 AS d, path[1:d - 1] AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY d - 1, path[1:d - 1]),
+full_nodes AS (SELECT n.*, coalesce(k.n, 0) AS n_children,
+                      CASE WHEN n.d = 0 THEN 0 ELSE (n.n_convs - 1) * length(n.path[n.d].text) END AS saved
+               FROM nodes n LEFT JOIN kids k ON k.d = n.d AND k.path = n.path),
+up AS (SELECT unnest(range(0, d + 1)) AS pre, path, n_children, saved FROM full_nodes),
+below AS (SELECT pre AS d, path[1:pre] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved FROM up
+          GROUP BY pre, path[1:pre])
+SELECT f.conv_id, f.d AS depth, a.conv_id AS parent_conv_id, f.n_convs, f.n_children, b.n_leaves,
+       b.saved::BIGINT AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM full_nodes f JOIN below b ON b.d = f.d AND b.path = f.path
+LEFT JOIN nodes a ON f.d > 0 AND a.d = f.d - 1 AND a.path = f.path[1:f.d - 1]
+"""
+
+
+@query("op12_prefix_trie", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+# -- 13 ----------------------------------------------------------------------
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, sf_dir, "documents", "doc_id", "text"))
