@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.functions.arrays import attention_mask, chunk_starts, pad_to, shift_left
+from kiln.operators.subwords import Tokenizer, encoded
 
 TOKEN_PATTERN = r"\p{L}+|\p{N}+|[^\p{L}\p{N}\t\n\f\r ]"
 PAD_ID = 0
@@ -57,18 +58,24 @@ def vocabulary(df: DataFrame, text: Column | str) -> DataFrame:
 
 def chunk(df: DataFrame, id_col: str, prompt: Column | str, answer: Column | str,
           max_len: int = 512, overlap: int = 128, specials: int = 0,
-          with_spans: bool = False) -> DataFrame:
+          with_spans: bool = False, tokenizer: Tokenizer | None = None, pad_id: int = PAD_ID) -> DataFrame:
     """X23 + X24 + X22: one output row per chunk with ``sample_id`` (X25, the
     source row), ``chunk_index``, ``input_ids`` (padded), ``attention_mask``
     (tinyint), ``labels`` (ids shifted left, -100 appended) and ``n_real``.
     Rows with a null prompt or answer, and rows whose answer leaves no more
     than ``overlap`` tokens of budget, have no chunks: ``rejected_rows`` lists
-    them with the reason."""
+    them with the reason. ``tokenizer`` replaces the token rule of this module
+    by a caller's own (K4, see ``subwords.encoded``)."""
     given = df.where(_c(prompt).isNotNull() & _c(answer).isNotNull())
-    # spans once per row, before the chunks are unfolded
-    base = given.select(F.col(id_col).alias("sample_id"), token_ids(prompt).alias("_p"), token_ids(answer).alias("_a"),
-                        *([token_spans(_c(prompt)).alias("_ps"), token_spans(_c(answer)).alias("_as")]
-                          if with_spans else []))
+    # ids and spans once per row, before the chunks are unfolded
+    if tokenizer is not None:
+        texts = given.select(F.col(id_col).alias("sample_id"), _c(prompt).alias("_pt"), _c(answer).alias("_at"))
+        base = encoded(texts, {"_p": "_pt", "_a": "_at"}, tokenizer, spans=with_spans) \
+            .drop("_pt", "_at").withColumnsRenamed({"_p_spans": "_ps", "_a_spans": "_as"})
+    else:
+        base = given.select(F.col(id_col).alias("sample_id"), token_ids(prompt).alias("_p"), token_ids(answer).alias("_a"),
+                            *([token_spans(_c(prompt)).alias("_ps"), token_spans(_c(answer)).alias("_as")]
+                              if with_spans else []))
     budget = F.lit(max_len - specials) - F.size("_a")
     starts = chunk_starts(F.size("_p"), budget, overlap)
     ex = base.select("*", budget.alias("_budget"),
@@ -76,7 +83,7 @@ def chunk(df: DataFrame, id_col: str, prompt: Column | str, answer: Column | str
     body = F.concat(F.slice("_p", F.col("_start") + 1, F.col("_budget")), F.col("_a"))
     out = (ex.withColumn("_ids", body)
            .withColumn("n_real", F.size("_ids"))
-           .withColumn("input_ids", pad_to("_ids", max_len, F.lit(PAD_ID).cast("bigint")))
+           .withColumn("input_ids", pad_to("_ids", max_len, F.lit(pad_id).cast("bigint")))
            .withColumn("attention_mask", attention_mask("_ids", max_len))
            .withColumn("labels", shift_left("input_ids")))
     keep = ["sample_id", "chunk_index", "input_ids", "attention_mask", "labels", "n_real"]
@@ -91,12 +98,16 @@ def chunk(df: DataFrame, id_col: str, prompt: Column | str, answer: Column | str
 
 
 def rejected_rows(df: DataFrame, id_col: str, prompt: Column | str, answer: Column | str, max_len: int = 512,
-                  overlap: int = 128, specials: int = 0) -> DataFrame:
+                  overlap: int = 128, specials: int = 0, tokenizer: Tokenizer | None = None) -> DataFrame:
     """(sample_id, reason) of the rows that ``chunk`` has no chunks for."""
-    budget = F.lit(max_len - specials) - F.size(tokens(answer))
-    reason = F.when(_c(prompt).isNull(), "no prompt").when(_c(answer).isNull(), "no answer") \
-        .when(budget <= overlap, "answer too long")
-    return df.select(F.col(id_col).alias("sample_id"), reason.alias("reason")).where("reason is not null")
+    rows = df.select(F.col(id_col).alias("sample_id"), _c(prompt).isNull().alias("_none"), _c(answer).alias("_at"))
+    if tokenizer is not None:
+        rows = encoded(rows, {"_a": "_at"}, tokenizer).withColumn("_n", F.size("_a"))
+    else:
+        rows = rows.withColumn("_n", F.size(tokens("_at")))
+    reason = F.when(F.col("_none"), "no prompt").when(F.col("_at").isNull(), "no answer") \
+        .when(F.lit(max_len - specials) - F.col("_n") <= overlap, "answer too long")
+    return rows.select("sample_id", reason.alias("reason")).where("reason is not null")
 
 
 _SPAN_TYPE = T.StructType([T.StructField("starts", T.ArrayType(T.LongType())),
