@@ -67,19 +67,16 @@ def test_vocabularies_that_cannot_be_used(spark, subwords, monkeypatch):
         sw.subword_tokenizer(spark, VOCABULARY)
 
 
-class Letters:
-    """One token a character, id its code point."""
-
-    def __call__(self, texts):
+def test_chunks_of_a_callers_tokenizer(spark):
+    def letters(texts):
+        """One token a character, its id the code point."""
         return [([ord(c) for c in t], range(len(t)), range(1, len(t) + 1)) for t in texts]
 
-
-def test_chunks_of_a_callers_tokenizer(spark):
     df = spark.createDataFrame([(1, "abcdefgh", "Z"), (2, None, "Z"), (3, "abc", "toolonganswer"), (4, "", "Z")], "id long, p string, a string")
-    got = sorted(tx.chunk(df, "id", "p", "a", max_len=5, overlap=2, tokenizer=Letters(), with_spans=True, pad_id=-1).collect())
+    got = sorted(tx.chunk(df, "id", "p", "a", max_len=5, overlap=2, tokenizer=letters, with_spans=True, pad_id=-1).collect())
     assert [(r.sample_id, r.chunk_index, "".join(map(chr, r.input_ids[:r.n_real])), r.offset_start) for r in got] == [
         (1, 0, "abcdZ", [0, 1, 2, 3, 0]), (1, 1, "cdefZ", [2, 3, 4, 5, 0]), (1, 2, "efghZ", [4, 5, 6, 7, 0]), (4, 0, "Z", [0])]
     assert got[3].input_ids == [ord("Z"), -1, -1, -1, -1]
-    out = sorted(map(tuple, tx.rejected_rows(df, "id", "p", "a", 5, 2, tokenizer=Letters()).collect()))
+    out = sorted(map(tuple, tx.rejected_rows(df, "id", "p", "a", 5, 2, tokenizer=letters).collect()))
     assert out == [(2, "no prompt"), (3, "answer too long")]
-    assert tx.chunk(df.where(F.lit(False)), "id", "p", "a", tokenizer=Letters()).count() == 0
+    assert tx.chunk(df.where(F.lit(False)), "id", "p", "a", tokenizer=letters).count() == 0
