@@ -15,6 +15,8 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,11 +41,6 @@ def nearest_of(vec: Column | str, cents: Column | str) -> Column:
     return F.when(~F.isnan(best["d"]) & best["d"].isNotNull(), best["cid"])
 
 
-def nearest_distance_of(vec: Column | str, cents: Column | str) -> Column:
-    v = _c(vec).cast("array<double>")
-    return F.array_min(F.transform(_c(cents), lambda c: squared_distance(v, c)))
-
-
 def with_centroids(df: DataFrame, centroids: Sequence[Sequence[float]],
                    col: str = "_cents") -> DataFrame:
     """Attach the k centroids to every row as one constant ``array<array<double>>``
@@ -161,6 +158,99 @@ def composition(df: DataFrame, vec: str, label: str, centroids: Sequence[Sequenc
             .groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n")))
 
 
+def hash_uniform(seed: int, draw: str, key: Column) -> Column:
+    """A uniform in (0, 1) from the md5 of (seed, draw, key)."""
+    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}:{draw}"), key.cast("string")).cast("binary")), 1, 8), 16, 10)
+    return (h.cast("double") + 0.5) / 4294967296.0
+
+
+def _blocked_nearest(df: DataFrame, keep: Sequence[str], vec: str, centers: np.ndarray) -> DataFrame:
+    """``keep`` columns, squared distance ``d2`` to the nearest of ``centers``
+    and its index ``near`` (lowest on ties), in Arrow batches; rows without a
+    vector get nulls."""
+    held = df.sparkSession.sparkContext.broadcast(centers)
+    kinds = dict(df.dtypes)
+
+    def step(batches):
+        c = held.value
+        for batch in batches:
+            col = batch.column(vec).cast(pa.list_(pa.float64()))
+            there = np.asarray(col.is_valid())
+            x = col.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(-1, c.shape[1])
+            best, near = np.full(len(x), np.inf), np.zeros(len(x), np.int64)
+            for j, center in enumerate(c):
+                diff = x - center
+                d2 = np.einsum("ij,ij->i", diff, diff)
+                less = d2 < best
+                best[less], near[less] = d2[less], j
+            full, at = np.full(len(col), np.nan), np.zeros(len(col), np.int64)
+            full[there], at[there] = best, near
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(k) for k in keep] + [pa.array(full, mask=~there), pa.array(at, mask=~there)], [*keep, "d2", "near"])
+
+    spec = ", ".join(f"`{k}` {kinds[k]}" for k in keep)
+    return df.select(*dict.fromkeys([*keep, vec])).mapInArrow(step, f"{spec}, d2 double, near long")
+
+
+MAX_CANDIDATES = 100_000
+
+
+def parallel_start(df: DataFrame, id_col: str, vec: str, k: int, steps: int = 8, oversample: float = 2.0,
+                   seed: int = 0) -> list[list[float]]:
+    """k-means|| start: from the row with the smallest hash uniform, every
+    step draws each row with probability min(1, oversample * k * d2 / cost) by
+    a hash uniform of its id, where d2 is its squared distance to the nearest
+    centre drawn so far. The candidates (about oversample * k a step, checked)
+    are weighted by the rows nearest to them and reduced to ``k`` on the
+    driver by weighted distance draws, also by hash uniforms: the same start
+    at every run and for every partitioning. Ids must be unique; rows with a
+    null id or vector are not drawn. With fewer distinct candidates than
+    ``k``, all of them are returned.
+
+    Every step is one pass over the rows; only rows of the step's draw leave
+    the tasks."""
+    rows = df.where(F.col(id_col).isNotNull() & F.col(vec).isNotNull()).select(id_col, F.col(vec).cast("array<double>").alias(vec)) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        first = rows.select(hash_uniform(seed, "first", F.col(id_col)).alias("u"), id_col, vec).orderBy("u", id_col).limit(1).collect()
+        if not first:
+            return []
+        picked = [(first[0][id_col], first[0][vec])]
+        for step in range(steps):
+            scored = _blocked_nearest(rows, [id_col, vec], vec, np.array([c for _, c in picked]))
+            cost = scored.agg(F.sum("d2").alias("s")).first()["s"]
+            if not cost:
+                break
+            hit = hash_uniform(seed, f"step{step}", F.col(id_col)) < oversample * k * F.col("d2") / F.lit(float(cost))
+            drawn = scored.where(hit).select(id_col, vec).limit(MAX_CANDIDATES + 1).collect()
+            if len(picked) + len(drawn) > MAX_CANDIDATES:
+                raise ValueError(f"over {MAX_CANDIDATES} candidates: lower oversample, steps or k")
+            picked += sorted((r[id_col], r[vec]) for r in drawn)
+        centers = np.array([c for _, c in picked])
+        weight = np.zeros(len(centers))
+        for r in _blocked_nearest(rows, [id_col], vec, centers).groupBy("near").agg(F.count(F.lit(1)).alias("n")).collect():
+            weight[r["near"]] = r["n"]
+    finally:
+        rows.unpersist()
+    return _reduce(centers, weight, k, seed).tolist()
+
+
+def _reduce(centers: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """``k`` of the weighted candidates: the heaviest first (first on ties),
+    then by draws with probability weight * squared distance."""
+    import hashlib
+    chosen = [int(np.argmax(weight))]
+    best = ((centers - centers[chosen[0]]) ** 2).sum(1)
+    while len(chosen) < k:
+        cum = np.cumsum(weight * best)
+        if cum[-1] <= 0:
+            break
+        u = (int(hashlib.md5(f"{seed}:reduce:{len(chosen)}".encode()).hexdigest()[:8], 16) + 0.5) / 4294967296.0
+        chosen.append(int(np.searchsorted(cum, u * cum[-1], side="left")))
+        best = np.minimum(best, ((centers - centers[chosen[-1]]) ** 2).sum(1))
+    return centers[chosen]
+
+
 def collect_vectors(df: DataFrame, vec: str, limit: int) -> list[list[float]]:
     """Collect at most ``limit`` vectors (k start centroids): bounded."""
     return [list(map(float, r[0])) for r in df.select(vec).limit(limit).collect()]

@@ -20,6 +20,7 @@ import heapq
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,7 +136,7 @@ def encoded(df: DataFrame, texts: dict[str, str], tokenizer: Tokenizer, spans: b
     ids as column ``out`` (array<bigint>) and, with ``spans``, their character
     spans as ``out_spans`` (struct of starts and ends). A null text has null
     ids. The output's schema follows from the arguments."""
-    held = df.sparkSession.sparkContext.broadcast(tokenizer)
+    held = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(tokenizer))
     columns, kinds = list(df.columns), [f.dataType for f in df.schema.fields]
     schema = ", ".join([f"`{c}` {k.simpleString()}" for c, k in zip(columns, kinds)] + [
         s for out in texts for s in [f"`{out}` array<bigint>"] + (
@@ -143,7 +144,7 @@ def encoded(df: DataFrame, texts: dict[str, str], tokenizer: Tokenizer, spans: b
     numbers = pa.list_(pa.int64())
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run = held.value
+        run = cloudpickle.loads(held.value)
         for batch in batches:
             arrays, names = list(batch.columns), list(batch.schema.names)
             for out, source in texts.items():
