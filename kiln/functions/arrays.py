@@ -76,11 +76,6 @@ def squared_distance(a: Column | str, b: Column | str) -> Column:
                        F.lit(0.0), lambda acc, v: acc + v)
 
 
-def l2_distance(a: Column | str, b: Column | str) -> Column:
-    """Euclidean norm of a difference."""
-    return F.sqrt(squared_distance(a, b))
-
-
 def shift_left(arr: Column | str, sentinel: int = IGNORE_INDEX) -> Column:
     """Drop the first element, append ``sentinel`` (``x[1:] + [s]``)."""
     a = _c(arr)

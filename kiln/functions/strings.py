@@ -112,6 +112,9 @@ def clean_solution(col: Column | str) -> Column:
         .otherwise(F.lit(MISSING_TEXT_DEFAULT))
 
 
-def words(text: Column | str, pattern: str = "[^a-z]+") -> Column:
+WORD_GAP = r"[^\p{L}\p{N}]+"      # words are runs of letters and digits of any script
+
+
+def words(text: Column | str, pattern: str = WORD_GAP) -> Column:
     """Lower-case word array, empty tokens removed (A1, M7, M8)."""
     return F.filter(F.split(F.lower(_c(text)), pattern), lambda w: w != F.lit(""))

@@ -11,11 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
-                                   MulticlassClassificationEvaluator, RegressionEvaluator)
+                                   MulticlassClassificationEvaluator)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.operators.ordered import ordered_scan
+from kiln.operators.ordered import ordered_scan, range_bucketed
 from kiln.operators.split import first_n_per_group
 
 LOG_LOSS_EPS = 1e-15  # fixed value: probability clip used by log loss
@@ -73,14 +73,15 @@ def auc_exact(scored: DataFrame, score: str = "score", label: str = "label",
               bucket: Column | None = None, positive=1) -> DataFrame:
     """Exact area under the ROC curve by the rank-sum rule, ties counted
     half. Per distinct score: positives and negatives; the running count of
-    negatives below each score comes from ``ordered_scan`` with ``bucket``
-    non-decreasing in the score (default ``floor(score * 4096)`` for scores
-    in [0, 1])."""
+    negatives below each score comes from ``ordered_scan`` over ranges of the
+    distinct scores (``range_bucketed``), whatever their values, or over
+    ``bucket`` when given (non-decreasing in the score)."""
     per = scored.groupBy(F.col(score).alias("_s")).agg(
         F.count_if(F.col(label) == positive).alias("_pos"),
         F.count_if(F.col(label) != positive).alias("_neg"))
-    b = bucket if bucket is not None else F.floor(F.col("_s") * F.lit(4096)).cast("bigint")
-    run = ordered_scan(per, [F.col("_s")], b, (), sums=["_neg"], rank_col="_r", size_col=None)
+    if bucket is None:
+        per, bucket = range_bucketed(per, [F.col("_s")]), F.col("_range")
+    run = ordered_scan(per, [F.col("_s")], bucket, (), sums=["_neg"], rank_col="_r", size_col=None)
     below = F.col("cum__neg") - F.col("_neg")
     return run.agg(
         (F.sum(F.col("_pos") * (below + F.lit(0.5) * F.col("_neg")))
@@ -120,8 +121,3 @@ def library_metrics(pred: DataFrame, label: str = "label") -> dict:
     f1 = MulticlassClassificationEvaluator(labelCol=label, metricName="f1").evaluate(pred)
     acc = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy").evaluate(pred)
     return {"auc": auc, "f1": f1, "accuracy": acc}
-
-
-def regression_library_metrics(pred: DataFrame, label: str = "label") -> dict:
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction")
-    return {m: ev.setMetricName(m).evaluate(pred) for m in ("rmse", "r2", "mse", "mae")}

@@ -15,6 +15,7 @@ from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kiln.functions.strings import WORD_GAP
 from kiln.functions.strings import words as word_array
 
 # ---- fixed values: the 35 word-frequency features of the reference's spam
@@ -96,7 +97,7 @@ def feature_pipeline(spec: FeatureSpec, scale_numeric: bool = False,
 
 def word_shares(df: DataFrame, id_col: str, text_col: str = "text",
                 keep: Sequence[str] = (), vocabulary: Sequence[str] | None = None,
-                pattern: str = "[^a-z]+", scale: float = 100.0,
+                pattern: str = WORD_GAP, scale: float = 100.0,
                 per_token: bool = False) -> DataFrame:
     """M8: per row and word, the word's share of the row's words (in percent
     by default, like word-frequency tables). Long form: one output row per

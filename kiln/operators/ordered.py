@@ -18,6 +18,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kiln.session import materialize
+
+
+def range_bucketed(df: DataFrame, order: Sequence[Column], parts: int | None = None, out: str = "_range") -> DataFrame:
+    """``df`` cut into ``parts`` ranges of the order (the session's shuffle
+    partitions by default), numbered ascending in ``out``, and written out:
+    a bucket for ``ordered_scan`` that fits values of any kind and spread.
+    Limits come from Spark's own sample of the order's values, so ranges are
+    about equal in rows when the order is total (rows that tie in all of it
+    stay together)."""
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(df.repartitionByRange(n, *order).withColumn(out, F.spark_partition_id()), "ranges")
+
 
 def ordered_scan(df: DataFrame, order: Sequence[Column], bucket: Column,
                  partition_by: Sequence[str] = (), carry: Sequence[str] = (),

@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.operators.ordered import ordered_scan
+from kiln.operators.ordered import ordered_scan, range_bucketed
+from kiln.session import materialize
 
 # 16**5 = 1,048,576 order-preserving buckets of the hash: about a million rows
 # per window task at 10**12 rows, while the per-bucket offsets table (at most
@@ -165,7 +166,6 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFra
     digests meet their first id, in a plain join that AQE can split on a hot
     digest. The ids to drop are written to the shared folder and removed by an
     anti join on the unique id."""
-    from kiln.session import materialize
     digest = F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).cast("binary"), 256)
     hashed = df.select(id_col, digest.alias("_h"))
     firsts = materialize(hashed.groupBy("_h").agg(F.min(id_col).alias("_first"), F.count(F.lit(1)).alias("_c"))
@@ -178,13 +178,17 @@ def largest_remainder(counts: DataFrame, key: str, n_col: str, total: int,
                       out: str = "quota") -> DataFrame:
     """Apportion ``total`` over groups in proportion to ``n_col``:
     floor of the exact share, then one more for the largest remainders (ties
-    to the smaller key). ``counts`` has one row per group (a small table)."""
-    whole = Window.partitionBy()
-    p = F.col(n_col) / F.sum(n_col).over(whole)
-    t = (counts.withColumn("_exp", p * F.lit(total))
-         .withColumn("_base", F.floor("_exp").cast("bigint"))
-         .withColumn("_frac", F.col("_exp") - F.col("_base"))
-         .withColumn("_rem", F.lit(total) - F.sum("_base").over(whole))
-         .withColumn("_rk", F.row_number().over(Window.orderBy(F.col("_frac").desc(), F.col(key)))))
-    return t.withColumn(out, F.col("_base") + F.when(F.col("_rk") <= F.col("_rem"), 1).otherwise(0)) \
-        .drop("_exp", "_base", "_frac", "_rem", "_rk")
+    to the smaller key). The groups may be as many as the rows: the sums are
+    single numbers and the remainders are ranked by ranges, not in one task."""
+    counts = materialize(counts, "quota-counts")
+    whole = counts.agg(F.sum(n_col).alias("s")).first()["s"]
+    if not whole:
+        return counts.withColumn(out, F.lit(None).cast("bigint"))
+    exact = F.col(n_col) / F.lit(whole) * F.lit(total)
+    t = counts.withColumn("_exp", exact).withColumn("_base", F.floor("_exp").cast("bigint")) \
+        .withColumn("_down", F.col("_base") - F.col("_exp"))          # ascending: largest remainder first
+    rest = total - (t.agg(F.sum("_base").alias("b")).first()["b"] or 0)
+    order = [F.col("_down").asc(), F.col(key).asc()]
+    r = ordered_scan(range_bucketed(t, order), order, F.col("_range"), rank_col="_rk", size_col=None)
+    return r.withColumn(out, F.col("_base") + F.when(F.col("_rk") <= rest, 1).otherwise(0)) \
+        .drop("_exp", "_base", "_down", "_rk", "_range")

@@ -9,14 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions.numeric import STD_FLOOR
+from kiln.functions.strings import WORD_GAP
 from kiln.functions.strings import words as word_array
+from kiln.session import materialize
 
 
-def word_count(df: DataFrame, text_col: str = "text", pattern: str = "[^a-z]+",
+def word_count(df: DataFrame, text_col: str = "text", pattern: str = WORD_GAP,
                word_col: str = "word") -> DataFrame:
     """A1: map (explode words) -> group -> reduce (count)."""
     return (df.select(F.explode(word_array(text_col, pattern)).alias(word_col))
@@ -41,10 +43,11 @@ def reaggregate(df: DataFrame, keys: Sequence[str], value: str,
 
 
 def frequency_table(df: DataFrame, key: str) -> DataFrame:
-    """A10: counts and shares per key; the share's denominator is a window
-    over the (small) aggregated table, not over the input."""
-    counts = count_by(df, [key])
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    """A10: counts and shares per key; the counts are written once, their total
+    is one number."""
+    counts = materialize(count_by(df, [key]), "frequencies")
+    total = counts.agg(F.sum("n").alias("t")).first()["t"]
+    return counts.withColumn("share", F.col("n") / F.lit(total))
 
 
 def group_to_map(df: DataFrame, key: str, map_key: str, map_value: str,

@@ -24,6 +24,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kiln.operators.ordered import ordered_scan, range_bucketed
+
 GAIN_DIGITS = 9
 MAX_CELLS = 4_000_000   # nodes x features x bins of one level
 
@@ -46,21 +48,19 @@ class Binning:
 
 def exact_limits(df: DataFrame, features: Sequence[str], n_bins: int) -> Binning:
     """Limits at the values of rank ceil(i n / n_bins), exact: distinct values
-    with their counts, numbered within value buckets and offset by the buckets
-    before (no window over a whole column); equal limits are merged and the
-    greatest value is no limit."""
-    from kiln.operators.ordered import ordered_scan
+    with their counts, summed within ranges and offset by the ranges before
+    (no window over a whole column); equal limits are merged and the greatest
+    value is no limit."""
     pairs = F.array(*[F.struct(F.lit(i).alias("f"), F.col(c).cast("double").alias("x")) for i, c in enumerate(features)])
     values = df.select(F.explode(pairs).alias("p")).select("p.*").where("x is not null and not isnan(x)") \
         .groupBy("f", "x").agg(F.count(F.lit(1)).alias("n"))
-    spans = {r["f"]: r for r in values.groupBy("f").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("n").alias("rows")).collect()}
+    spans = {r["f"]: r for r in values.groupBy("f").agg(F.max("x").alias("hi"), F.sum("n").alias("rows")).collect()}
     out = {c: [] for c in features}
     if not spans:
         return Binning(out)
-    lo, hi, rows = (F.element_at(F.create_map(*[F.lit(v) for f, r in spans.items() for v in (f, r[key])]), F.col("f"))
-                    for key in ("lo", "hi", "rows"))
-    bucket = F.floor((F.col("x") - lo) / F.when(hi > lo, hi - lo).otherwise(F.lit(1.0)) * 1024)
-    run = ordered_scan(values, [F.col("x").asc()], bucket, ["f"], sums=["n"], rank_col="_r", size_col=None)
+    hi, rows = (F.element_at(F.create_map(*[F.lit(v) for f, r in spans.items() for v in (f, r[key])]), F.col("f")) for key in ("hi", "rows"))
+    run = ordered_scan(range_bucketed(values, [F.col("f"), F.col("x")]), [F.col("x").asc()], F.col("_range"), ["f"],
+                       sums=["n"], rank_col="_r", size_col=None)
     # the value at rank r is the first whose running count reaches r
     ranks = F.sequence(F.lit(1), F.lit(n_bins - 1))
     hit = F.exists(ranks, lambda i: (F.ceil(i * rows / n_bins) > F.col("cum_n") - F.col("n")) & (F.ceil(i * rows / n_bins) <= F.col("cum_n")))

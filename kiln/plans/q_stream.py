@@ -20,8 +20,8 @@ def _stream(spark, sf_dir, n_batches):
     e = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
     base = shared_path(spark, "microbatches")
     batches = os.path.join(base, "batches")
-    mk.write_microbatches(e, "vec_id", n_batches, batches)
-    res = mk.run(spark, batches, e.schema, "embedding", "vec_id", K, alpha=1.0, seed=0,
+    files = mk.write_microbatches(e, "vec_id", n_batches, batches)
+    res = mk.run(spark, batches, e.schema, "embedding", "vec_id", K, alpha=1.0, seed=0, files_per_batch=files,
                  work_dir=os.path.join(base, "run"))
     return e, res
 

@@ -27,10 +27,10 @@ def q_word_count(spark, sf_dir):
     return word_count(docs, "text", LETTERS)
 
 
-_SHARES_SQL = """
+_SHARES_SQL = r"""
 WITH d AS (
   SELECT d.doc_id, l.toxic AS label,
-         list_filter(string_split_regex(lower(d.text), '[^a-z]+'), lambda w: w <> '') AS w
+         list_filter(string_split_regex(lower(d.text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
   FROM documents d JOIN labels l USING (doc_id)),
 t AS (SELECT doc_id, label, len(w) AS total, unnest(w) AS word FROM d),
 shares AS (SELECT doc_id, label, word, 100.0 * count(*) / any_value(total) AS x
@@ -133,10 +133,10 @@ def q_nb_score_confusion(spark, sf_dir):
         .select("label", "prediction", F.col("n").cast("bigint").alias("n"))
 
 
-_NB_ML_SQL = f"""
+_NB_ML_SQL = rf"""
 WITH d AS (
   SELECT d.doc_id, l.toxic AS label, ('0x' || substr(md5('0:' || d.doc_id::varchar), 1, 8))::ubigint < 3435973837 AS train,
-         list_filter(string_split_regex(lower(d.text), '[^a-z]+'), lambda w: w <> '') AS w
+         list_filter(string_split_regex(lower(d.text), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS w
   FROM documents d JOIN labels l USING (doc_id)),
 words AS (SELECT unnest({list(SPAM_WORDS)}) AS word),
 x AS (SELECT doc_id, label, train, word, CASE WHEN len(w) = 0 THEN 0.0 ELSE
@@ -157,7 +157,7 @@ def _nb_ml(spark, sf_dir):
     from kiln.functions.strings import words
     from kiln.operators.models import naive_bayes
     docs = hash_split(labelled_documents(spark, sf_dir, "toxic"), "doc_id", 0.8, seed=0) \
-        .withColumn("_w", words("text", "[^a-z]+"))
+        .withColumn("_w", words("text"))
     n = F.size("_w")
     share = [F.when(n > 0, F.lit(100.0) * (n - F.size(F.array_remove("_w", w))) / n).otherwise(F.lit(0.0))
              for w in SPAM_WORDS]

@@ -95,6 +95,18 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
+    """Files that each hold one array of records, about ``rows_per_file``
+    rows a file (rows are dealt by hash; an array is built in one task, so its
+    size is the file's). ``read_json(..., multiline=True)`` reads them."""
+    n = df.count()
+    parts = max(1, -(-n // rows_per_file))
+    deal = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).cast("int")
+    df.select(F.struct(*df.columns).alias("_r"), deal.alias("part")).groupBy("part") \
+        .agg(F.to_json(F.collect_list("_r"), {"ignoreNullFields": "false"}).alias("value")) \
+        .write.mode("overwrite").partitionBy("part").text(path)
+
+
 def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
     """Reload one named split; the filter prunes partition directories."""
     return spark.read.parquet(path).where(F.col("split") == F.lit(split))

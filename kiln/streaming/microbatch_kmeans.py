@@ -34,14 +34,18 @@ STATE = "cluster int, centroid array<double>, weight double"
 
 
 def write_microbatches(df: DataFrame, id_col: str, n_batches: int, path: str,
-                       files_per_batch: int = 1) -> None:
+                       rows_per_file: int = 1_000_000) -> int:
     """T1 (W2 + F7): dense position in id order, ``batch`` = position mod n,
-    written to ``path/<batch>`` in batch order with ``files_per_batch`` files."""
+    written to ``path/<batch>`` in batch order, about ``rows_per_file`` rows a
+    file, each file by its own task. Returns the files per batch, which ``run``
+    must read together."""
     at = F.pmod(F.col("_rank") - 1, F.lit(n_batches)).cast("int")
     ranked = materialize(id_rank(df, id_col, size_col=None).withColumn("batch", at).drop("_rank"), "ranked")
+    files = max(1, -(-ranked.count() // (n_batches * rows_per_file)))
     for i in range(n_batches):
-        ranked.where(F.col("batch") == i).repartition(files_per_batch) \
+        ranked.where(F.col("batch") == i).repartition(files) \
             .write.mode("overwrite").parquet(os.path.join(path, f"{i:05d}"))
+    return files
 
 
 @dataclass
