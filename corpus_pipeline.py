@@ -22,23 +22,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; of rows that repeat a
-    doc_id, one stays."""
-    found = setsketch.near_duplicates(docs).groupBy("doc_id").agg(F.bool_or("kept").alias("kept"))
-    out = without(docs, found.where(~F.col("kept")))
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = materialize(repeated.select("doc_id"), "repeated-ids")
-    if repeated.isEmpty():
-        return out
-    first = out.join(repeated, "doc_id", "left_semi").groupBy("doc_id") \
-        .agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("_r")).select("doc_id", "_r.*")
-    return out.join(repeated, "doc_id", "left_anti").unionByName(first.select(*docs.columns))
+    """One document of each group of near copies."""
+    return setsketch.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    found = phrase_index.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
-    return without(docs, found.where("contaminated"))
+    return phrase_index.uncontaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,12 +40,6 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return ring.shard_documents(docs)
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` less the ids of ``dropped``; rows with a null id stay."""
-    ids = materialize(dropped.select("doc_id").where("doc_id is not null").distinct(), "dropped")
-    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
-
-
 STAGES = [("toxicity", drop_toxic), ("minhash_near_dedup", drop_near_copies),
           ("benchmark_decontamination", drop_contaminated), ("mixing_sources", mix_sources),
           ("sharding", shard)]

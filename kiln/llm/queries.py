@@ -161,7 +161,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP9_SQL = r"""
 WITH dw AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 iw AS (
   SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -169,16 +169,16 @@ iw AS (
 ia AS (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM iw WHERE len(w) > 0),
 wins AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i+n-1], ' ') AS win FROM ia),
 sizes AS (SELECT DISTINCT n FROM wins),
-da AS (SELECT d.doc_id, s.n, d.w, unnest(range(1, len(d.w) - s.n + 2)) AS p FROM dw d, sizes s WHERE len(d.w) >= s.n),
-occ AS (SELECT doc_id, p, n, array_to_string(w[p:p+n-1], ' ') AS win FROM da),
-found AS (SELECT o.doc_id, o.p, o.n, x.item_id FROM occ o JOIN wins x USING (n, win)),
-hits AS (SELECT doc_id, count(DISTINCT q) AS n_hit
-         FROM (SELECT DISTINCT doc_id, unnest(range(p, p + n)) AS q FROM found) GROUP BY doc_id),
-named AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
-          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM found) GROUP BY doc_id)
+da AS (SELECT d.r, s.n, d.w, unnest(range(1, len(d.w) - s.n + 2)) AS p FROM dw d, sizes s WHERE len(d.w) >= s.n),
+occ AS (SELECT r, p, n, array_to_string(w[p:p+n-1], ' ') AS win FROM da),
+found AS (SELECT o.r, o.p, o.n, x.item_id FROM occ o JOIN wins x USING (n, win)),
+hits AS (SELECT r, count(DISTINCT q) AS n_hit
+         FROM (SELECT DISTINCT r, unnest(range(p, p + n)) AS q FROM found) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM found) GROUP BY r)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM dw d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+FROM dw d LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
 """
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm.components import connected_components
-from kiln.llm.frames import bounded_broadcast
+from kiln.llm.frames import bounded_broadcast, fresh_name, hash60
 from kiln.llm.textops import (ASCII_LOWER, mix64, seeded, slices, span_hashes, utf8_buffer,
                               word_spans)
 from kiln.session import materialize
@@ -363,3 +363,34 @@ def _plausible_across(opened: DataFrame, reps: DataFrame, small: DataFrame) -> D
         .select("bucket", "i", "j", "band", "block", "rep", "component", "n_shingles", "sketch", "sample")
     return full.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "rep") \
         .mapInArrow(_across, "a long, b long")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, less near copies: one row of each
+    group stays, the one with the smallest doc_id.
+
+    Rows are told apart by id and text: rows under one doc_id with unlike
+    texts are separate documents, and so are rows without a doc_id (they stay
+    only where no row with an id of its own is in the group). Of rows that
+    repeat both, the first in the order of their other columns stays. Rows
+    without words and without a doc_id all stay."""
+    key = fresh_name(docs, "_key")
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    ids = materialize(docs.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min(text).alias("lo"), F.max(text).alias("hi")).where("n > 1"), "repeated-ids")
+    mixed = ids.where("lo <> hi").select("doc_id", F.lit(True).alias("_mixed"))
+    worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    stand_in = F.when(F.col("doc_id").isNotNull() | worded,                         # after every id
+                      F.lit(1 << 62) + hash60("row", F.col("doc_id"), F.col("text")))
+    rows = docs.join(mixed.withColumnsRenamed({"_mixed": f"{key}m"}), "doc_id", "left") \
+        .withColumn(key, F.when(F.col("doc_id").isNull() | F.col(f"{key}m"), stand_in).otherwise(F.col("doc_id").cast("long"))) \
+        .drop(f"{key}m")
+    found = near_duplicates(rows.select(F.col(key).alias("doc_id"), "text")).groupBy("doc_id").agg(F.bool_or("kept").alias("kept"))
+    gone = materialize(found.where(~F.col("kept")).select(F.col("doc_id").alias(key)), "near-copies")
+    out = rows.join(gone, key, "left_anti")
+    again = materialize(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+                        .where(F.col(key).isNotNull() & (F.col("n") > 1)).select(key), "repeated-rows")
+    if again.isEmpty():
+        return out.select(*docs.columns)
+    first = out.join(again, key, "left_semi").groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
+    return out.join(again, key, "left_anti").select(*docs.columns).unionByName(first.select(*docs.columns))

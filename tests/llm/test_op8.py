@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from llm_helpers import brute_components, shingles
+from llm_helpers import brute_components, prose, shingles
 
 from kiln.llm import setsketch
 from kiln.llm.components import connected_components
@@ -75,3 +75,20 @@ def test_components_of_a_long_path(spark):
     edges = [(i, i + 1) for i in range(200, 300)] + [(500, 3), (3, 500), (7, 7), (None, 1)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 200 for i in range(200, 301)}, 500: 3, 3: 3}
+
+
+def test_one_of_each_tells_rows_apart(spark):
+    base, other = prose(31, 60), prose(32, 60)
+    rows = [(1, base, "a"), (1, other, "a"), (1, other, "b"), (2, base + " tail", "a"), (None, other, "a"), (None, prose(33, 50), "a"),
+            (None, prose(33, 50), "b"), (None, prose(33, 50) + " more", "c"), (None, None, "a"), (None, "", "a"), (None, None, "b"),
+            (3, "", "a"), (3, "", "b"), (4, None, "a"), (5, prose(34, 40), None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _key string").repartition(4)
+    got = setsketch.one_of_each(df)
+    assert got.columns == df.columns
+    out = sorted(map(tuple, got.collect()), key=str)
+    free = [r for r in out if r[0] is None]
+    assert [r for r in out if r[0] == 2] + [r for r in out if r[0] == 1 and r[1] == base] == [(2, base + " tail", "a")]
+    assert [r for r in out if r[1] == other] == [(1, other, "a")]              # the row with an id stays
+    assert sorted(r[2] for r in free if not r[1]) == ["a", "a", "b"] and len([r for r in free if r[1]]) == 1
+    assert [r for r in out if r[0] in (3, 4, 5)] == [(3, "", "a"), (4, None, "a"), (5, prose(34, 40), None)]
+    assert setsketch.one_of_each(df.limit(0)).count() == 0

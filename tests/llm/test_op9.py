@@ -20,7 +20,7 @@ def brute(docs, items):
     out = []
     for d, t in docs:
         w, hit, ids = words(t, PATTERN), set(), set()
-        for n in {len(x) for x in wins} if d is not None else ():
+        for n in {len(x) for x in wins}:
             for a in range(len(w) - n + 1):
                 if (found := wins.get(tuple(w[a:a + n]))):
                     hit |= set(range(a, a + n))
@@ -51,6 +51,8 @@ def test_random_texts(spark):
         docs.append((d, rng.choice([" ", "  ", "-", ".\n"]).join(w).title() if d % 2 else "," + " ".join(w) + "!"))
     docs += [(200, None), (201, ""), (202, "x " * 30), (203, "solo"), (204, "ünïcode é ünïcode é ünïcode é ünïcode é ünïcode é"),
              (205, "ÜNÏCODE É " * 6), (None, "solo"), (206, "ünïcode É " * 5)]
+    # rows of one id, and rows without one, are judged by their own texts
+    docs += [(300, items[4][1]), (300, "three clean words"), (300, items[4][1]), (300, None), (None, items[5][1]), (None, "clean"), (None, None)]
     df = spark.createDataFrame([(d, t, 1, "z") for d, t in docs], "doc_id long, text string, start int, term string").repartition(4)
     it = spark.createDataFrame([(i, t, 2) for i, t in items], "item_id long, text string, n int")
     assert run(df, it) == brute(docs, items)
@@ -64,6 +66,15 @@ def test_edge_cases(spark, docs, no_docs):
     assert {r.contaminated for r in phrase_index.contamination(docs, items.limit(0)).collect()} == {False}
 
 
+def test_uncontaminated_keeps_rows_and_columns(spark):
+    rows = [(1, "a b", "x"), (1, "solo", "y"), (None, "solo one", "z"), (None, "clean", None), (2, None, "w"), (1, "a b", "v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row_id string")
+    items = spark.createDataFrame([(1, "Solo")], "item_id long, text string")
+    got = phrase_index.uncontaminated(df.withColumnRenamed("_row_id", "extra"), items)
+    assert got.columns == ["doc_id", "text", "extra"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([r for r in rows if "solo" not in (r[1] or "")], key=str)
+
+
 def test_proximity(spark):
     rng = random.Random(8)
     docs = [(d, " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(0, 40)))) for d in range(40)]

@@ -24,7 +24,9 @@ def folder(spark, tmp_path_factory):
     rows += [(300 + j, rows[1][1] + " tail" * j, "en", "a", 0, 0) for j in range(4)]
     rows += [(400, prose(7, 20) + " " + item, "en", "b", 0, 0), (401, prose(8, 20) + " " + item[:40], "en", "b", 0, 0),
              (402, None, None, None, None, 0), (403, "", "en", "a", 0, 0), (404, prose(9, 40), "en", "a", 0, 0),
-             (404, prose(9, 40), "en", "a", 0, 0)]
+             (404, prose(9, 40), "en", "a", 0, 0), (405, prose(10, 40), "en", "a", 0, 0), (405, prose(11, 40), "en", "a", 0, 0),
+             (405, prose(12, 20) + " " + item, "en", "a", 0, 0), (None, prose(13, 40), "en", "a", 0, 0),
+             (None, prose(13, 40) + " x", "en", "a", 0, 0), (None, prose(14, 20) + " " + item, "en", "b", 0, 0)]
     spark.createDataFrame([r[:5] for r in rows], "doc_id long, text string, lang string, source string, n_chars long") \
         .write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([(r[0], 1, r[5]) for r in rows[:240]], "doc_id long, quality int, toxic int") \
@@ -44,12 +46,18 @@ def test_stages(spark, folder, tmp_path):
         if k < 4:
             assert docs.columns == columns
         kept[name] = [r.asDict() for r in docs.collect()]
-        ids = sorted(r["doc_id"] for r in kept[name])
-        was = {r.doc_id: r.text for r in before.collect()}
+        # rows of id 405 are unlike texts, rows without an id are documents too
+        odd = sorted(r.get("text") or "" for r in kept[name] if r["doc_id"] in (405, None))
+        if name == "minhash_near_dedup":
+            assert len(odd) == 5 and len({t[:60] for t in odd}) == 5
+        elif name == "benchmark_decontamination":
+            assert len(odd) == 3 and not any("bench3" in t for t in odd)
+        ids = sorted(r["doc_id"] for r in kept[name] if r["doc_id"] not in (405, None))
+        was = {r.doc_id: r.text for r in before.collect() if r.doc_id not in (405, None)}
         if name == "toxicity":
             model = toxicity.train(before, spark.read.parquet(f"{folder}/labels.parquet"))
             scored = toxicity.score(before, model).where(F.col("score") < toxicity.THRESHOLD)
-            assert ids == sorted(r.doc_id for r in scored.collect())
+            assert ids == sorted(r.doc_id for r in scored.collect() if r.doc_id not in (405, None))
             assert sum(i % 4 == 0 for i in ids if i < 240) <= 6 and sum(i % 4 != 0 for i in ids if i < 240) >= 170
         elif name == "minhash_near_dedup":
             want = brute_components({d: t for d, t in was.items()})
@@ -59,13 +67,13 @@ def test_stages(spark, folder, tmp_path):
             assert ids == sorted(set(was) - {400})
         elif name == "mixing_sources":
             assert set(ids) <= set(was) and max(ids.count(i) for i in set(ids)) <= 3
-            assert abs(sum(len(words(r["text"])) for r in kept[name]) - sum(len(words(t)) for t in was.values())) <= 400
+            assert abs(sum(len(words(r["text"])) for r in kept[name]) - sum(len(words(t)) for t in was.values())) <= 600
         else:
-            assert len(ids) == len(kept["mixing_sources"])
+            assert len(kept[name]) == len(kept["mixing_sources"])
             counts = [sum(r["shard"] == s for r in kept[name]) for s in range(40)]
             assert max(counts) - min(counts) <= 1
-    got = sorted((r.doc_id, r.shard, r.slot) for r in P.run(spark, folder).collect())
-    assert got == sorted((r["doc_id"], r["shard"], r["slot"]) for r in kept["sharding"])
+    got = sorted((r.doc_id or -1, r.shard, r.slot) for r in P.run(spark, folder).collect())
+    assert got == sorted((r["doc_id"] or -1, r["shard"], r["slot"]) for r in kept["sharding"])
 
 
 def test_stages_on_an_empty_table(spark, folder):
