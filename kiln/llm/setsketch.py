@@ -367,11 +367,11 @@ def _plausible_across(opened: DataFrame, reps: DataFrame, small: DataFrame) -> D
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, less near copies: one row of each
-    group stays, the one with the smallest doc_id.
+    group stays, the one with the smallest doc_id; ids that hold several texts
+    come after the others, rows without an id last.
 
     Rows are told apart by id and text: rows under one doc_id with unlike
-    texts are separate documents, and so are rows without a doc_id (they stay
-    only where no row with an id of its own is in the group). Of rows that
+    texts are separate documents, and so are rows without a doc_id. Of rows that
     repeat both, the first in the order of their other columns stays. Rows
     without words and without a doc_id all stay."""
     key = fresh_name(docs, "_key")
@@ -380,8 +380,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min(text).alias("lo"), F.max(text).alias("hi")).where("n > 1"), "repeated-ids")
     mixed = ids.where("lo <> hi").select("doc_id", F.lit(True).alias("_mixed"))
     worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    stand_in = F.when(F.col("doc_id").isNotNull() | worded,                         # after every id
-                      F.lit(1 << 62) + hash60("row", F.col("doc_id"), F.col("text")))
+    mark = hash60("row", F.col("doc_id"), F.col("text"))                            # after every id of one text
+    stand_in = F.when(F.col("doc_id").isNotNull(), F.lit(1 << 62) + mark).when(worded, F.lit(3 << 61) + mark)
     rows = docs.join(mixed.withColumnsRenamed({"_mixed": f"{key}m"}), "doc_id", "left") \
         .withColumn(key, F.when(F.col("doc_id").isNull() | F.col(f"{key}m"), stand_in).otherwise(F.col("doc_id").cast("long"))) \
         .drop(f"{key}m")
