@@ -35,10 +35,15 @@ KINDS = ("assign", "access", "hex", "novel")
 # words that make what follows sensitive
 SENSITIVE = ("key", "secret", "token", "passw", "pwd", "auth", "bearer", "credential", "private")
 SENSITIVE_RE = re.compile("|".join(SENSITIVE), re.IGNORECASE | re.ASCII)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}", re.ASCII)
-REACH = 64                         # code points after a sensitive word in which a candidate starts
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=!$%^*#&~-]{6,}", re.ASCII)
+DELIMITERS = "=-"                  # at the start of a candidate they join it to its name
+REPEATED = re.compile(r"(?:([!$%^*#&~])\1+)?$")     # ornament at its end
 AROUND = 256                       # code points of surroundings on either side
-NOVELTY = 0.6                      # marginal compressed bytes per character of a reported string
+NOVELTY = 0.6                      # marginal compressed bytes per character of a reported string ...
+SURE_LENGTH, PER_MISSING = 16, 0.05    # ... more for each character that a shorter string lacks
+SURE_REACH, PER_DISTANCE = 64, 0.002   # ... and for each code point that it starts farther from the sensitive word
+CEILING = 1.15                     # what a string of random characters costs at most
+PLAIN_LETTERS, PLAIN_DIGITS = 20, 16   # least length of strings of one class, which are words or numbers below
 RUN = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9_]{12,}", re.ASCII)    # an identifier after any leading digits
 IDENTIFIER_LENGTHS = range(12, 65)
 COUNTED = 50_000                   # identifiers a task holds before it sends their counts on
@@ -72,26 +77,39 @@ def novelty(text: str, start: int, end: int, compressor: zstandard.ZstdCompresso
     return (len(compressor.compress(around + b"\n" + found)) - len(compressor.compress(around))) / max(len(found), 1)
 
 
-def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Strings in a sensitive context that may be keys: they mix letters and
-    digits."""
+def threshold(length: int, distance: int) -> float:
+    """Marginal bytes per character that a string of this length needs, this
+    many code points after a sensitive word."""
+    return NOVELTY + PER_MISSING * max(0, SURE_LENGTH - length) + PER_DISTANCE * max(0, distance - SURE_REACH)
+
+
+def candidates(text: str) -> Iterator[tuple[int, int, float]]:
+    """Strings after a sensitive word with the novelty that each needs: of two
+    or more classes (letters, digits, marks) from 6 characters, of letters or
+    digits alone from ``PLAIN_LETTERS`` and ``PLAIN_DIGITS``. The need grows
+    with the distance to the word until no string could meet it."""
     low = text.lower()
     if not any(w in low for w in SENSITIVE):
         return
     done = 0
     for word in SENSITIVE_RE.finditer(text):
         for m in CANDIDATE.finditer(text, max(word.end(), done)):
-            if m.start() > word.end() + REACH:
+            found = m[0].lstrip(DELIMITERS)
+            start = m.end() - len(found)
+            found = found[:REPEATED.search(found).start()]
+            if threshold(SURE_LENGTH, start - word.end()) > CEILING:
                 break
             done = m.end()
-            if any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0]):
-                yield m.start(), m.end()
+            letters, digits = sum(map(str.isalpha, found)), sum(map(str.isdigit, found))
+            mixed = (letters > 0) + (digits > 0) + any(c in "!$%^*#&~" for c in found) > 1
+            if len(found) >= 6 and (mixed or letters >= PLAIN_LETTERS or digits >= PLAIN_DIGITS):
+                yield start, start + len(found), threshold(len(found), start - word.end())
 
 
 def novel_spans(text: str, taken: list[Span], compressor: zstandard.ZstdCompressor) -> list[Span]:
     """Incompressible candidates that no base span covers."""
-    return [("novel", a, b) for a, b in candidates(text)
-            if not any(x < b and a < y for _, x, y in taken) and novelty(text, a, b, compressor) >= NOVELTY]
+    return [("novel", a, b) for a, b, need in candidates(text)
+            if not any(x < b and a < y for _, x, y in taken) and novelty(text, a, b, compressor) >= need]
 
 
 def text_of(spans: list[Span]) -> str:
@@ -104,7 +122,7 @@ def identifiers(text: str) -> Iterator[tuple[str, bool]]:
     for m in RUN.finditer(text):
         word = m[0].lstrip("0123456789")
         if len(word) in IDENTIFIER_LENGTHS:
-            yield word, any(a < m.end() and m.start() < b for a, b in spans)
+            yield word, any(a < m.end() and m.start() < b for a, b, _ in spans)
 
 
 def _count_identifiers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

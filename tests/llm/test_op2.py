@@ -64,6 +64,36 @@ def test_novel_strings_need_context_and_novelty():
     assert secrets.novel_spans(f"key {key}", [("hex", 4, 44)], c) == []
 
 
+def test_classes_lengths_and_distances():
+    c = zstandard.ZstdCompressor(level=3, write_content_size=False, write_dict_id=False)
+    rng = random.Random(3)
+
+    def key(n, of):
+        return "".join(rng.choice(of) for _ in range(n))
+    found = lambda t: [t[a:b] for _, a, b in secrets.novel_spans(t, [], c)]
+    mixed, letters = string.ascii_letters + string.digits, string.ascii_letters
+    for _ in range(20):
+        a, b, d = key(40, letters), "a1" + key(10, mixed), key(40, mixed)
+        assert found(f"Authorization: Bearer {a} end") == [a]
+        assert found(f"the credential {b} was sent") == [b]
+        assert found("the key" + " of this one" * 6 + f" is {d} now") == [d]
+        assert found(f"pwd={d}") == [d]
+        assert found(f"auth {key(20, string.digits)}x"[:26]) != []
+    assert found("pwd: Xk7!vQ2$mZ and more") == ["Xk7!vQ2$mZ"]
+    assert found("key " + "word " * 200 + key(40, mixed)) == []                   # too far to tell
+    assert found("secret meetings privately organised, the keyboard authenticates them") == []
+    again = key(12, mixed) + "7a"
+    assert found(f"{again} {again} {again} token {again}") == []                     # known from its surroundings
+
+
+def test_ordinary_prose_is_left_alone():
+    rng = random.Random(8)
+    c = zstandard.ZstdCompressor(level=3, write_content_size=False, write_dict_id=False)
+    vocabulary = ["the", "of", "key", "token", "private", "auth", "secret", "handling", "internationally", "2024", "v2", "re-enter", "7th", "and/or"]
+    hits = sum(len(secrets.novel_spans(" ".join(rng.choice(vocabulary) for _ in range(80)), [], c)) for _ in range(300))
+    assert hits == 0
+
+
 def test_copies_of_a_key_stay_new(spark):
     rng = random.Random(4)
     key = "".join(rng.choice(string.ascii_uppercase + string.digits) for _ in range(36))
