@@ -93,6 +93,39 @@ def q_sequence_files(spark, sf_dir):
     return back.groupBy(seq.alias("seq")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total"))
 
 
+def _event_lines(content: bytes):
+    """One "event_id,value" a line."""
+    for line in content.decode().splitlines():
+        event_id, comma, value = line.partition(",")
+        if not comma:
+            raise ValueError(f"not event_id,value: {line}")
+        yield int(event_id), float(value)
+
+
+@query("sequence_decode", sql="""
+WITH bad AS (SELECT min(event_type) AS seq FROM events)
+SELECT event_type AS seq, CASE WHEN event_type = bad.seq THEN 0 ELSE count(*) END AS n,
+       CASE WHEN event_type = bad.seq THEN NULL ELSE round(sum(value), 6) END AS total,
+       CASE WHEN event_type = bad.seq THEN 'ValueError: not event_id,value: broken' END AS reason
+FROM events, bad GROUP BY event_type, bad.seq
+""")
+def q_sequence_decode(spark, sf_dir):
+    """A text file per sequence, decoded by a caller's function; one file
+    has a line that cannot be read and is listed with the reason."""
+    from kiln.sources.sequences import read_sequences
+    e = read_table(spark, sf_dir, "events", ["event_id", "event_type", "value"])
+    lines = e.select(F.col("event_type").alias("seq"), F.concat_ws(",", "event_id", "value").alias("value"))
+    bad = e.agg(F.min("event_type").alias("seq")).select("seq", F.lit("broken").alias("value"))
+    base = shared_path(spark, "sequence-text")
+    lines.unionByName(bad).repartition("seq").write.partitionBy("seq").text(base)
+    rows, rejects = read_sequences(spark, base, _event_lines, "event_id long, value double")
+    seq = F.regexp_extract("seq_id", r"seq=([^/]+)/", 1).alias("seq")
+    read = rows.groupBy(seq).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total")) \
+        .withColumn("reason", F.lit(None).cast("string"))
+    failed = rejects.select(seq, F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("total"), "reason")
+    return read.unionByName(failed)
+
+
 @query("csv_multiline_roundtrip", sql="""
 SELECT conv_id, turn, text || chr(10) || '"' || role || '", ' AS body FROM conversations WHERE text IS NOT NULL AND role IS NOT NULL
 """)
