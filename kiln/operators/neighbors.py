@@ -12,7 +12,8 @@ covers all data), so there is no cap on candidates.
 
 Ties at equal distance are broken by class (the ``first_class`` first, then
 the rest) and then by the group's smallest id; units inside a group are
-interchangeable.
+interchangeable. Beyond ``MAX_DIMS`` dimensions the search goes to the pivot
+cells of ``cells.py``, with the same rules.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.functions.arrays import squared_distance
+from kiln.operators import cells
 from kiln.operators.split import id_rank
 from kiln.session import materialize
 
@@ -50,8 +52,9 @@ def knn(queries: DataFrame, refs: DataFrame, id_col: str, vec: str, label: str,
     d2) with ``sum(take) = min(k, available)`` per query."""
     spark = queries.sparkSession
     first = queries.select(F.size(vec)).first()
-    if first is not None and first[0] > MAX_DIMS:
-        raise ValueError(f"a grid search meets 3^d cells per query: at most {MAX_DIMS} dimensions")
+    if first is not None and first[0] > MAX_DIMS:          # a grid would meet 3^d cells per query
+        hits, _ = cells.knn(queries, refs, id_col, vec, label, k, first_class, exclude_self)
+        return hits.select("qid", "n_vec", "n_label", "take", "d2")
     groups = group_points(refs, id_col, vec, label).persist(StorageLevel.MEMORY_AND_DISK)
     q = queries.select(F.col(id_col).alias("_qid"), F.col(vec).alias("_qv"),
                        (F.col(label) if exclude_self else F.lit(None)).alias("_ql"))

@@ -190,3 +190,22 @@ def test_parallel_start_is_reproducible_and_spreads(spark):
     same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(50)], "id long, v array<double>")
     assert km.parallel_start(same, "id", "v", 3) == [[1.0, 2.0]]
     assert km.parallel_start(same.limit(0), "id", "v", 3) == []
+
+
+def test_borderline_points_in_many_dimensions(spark):
+    from kiln.operators import neighbors
+    rng = np.random.default_rng(4)
+    v = np.round(rng.normal(0, 1, (160, 12)), 2)
+    lab = (rng.random(160) < 0.3).astype(int)
+    v[lab == 1] += 0.4
+    rows = [(int(i), [float(x) for x in v[i]], int(lab[i])) for i in range(160)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, lab int")
+    got = {r.id: r.n_majority for r in neighbors.danger_points(df, "id", "v", "lab", 1, 0).collect()}
+    want = {}
+    for i, x, y in rows:
+        if y == 1:
+            near = sorted((sum((a - b) ** 2 for a, b in zip(x, w)), z != 0, j) for j, w, z in rows if j != i)[:5]
+            want[i] = sum(not other for _, other, _ in near)
+    assert got == want
+    new = neighbors.borderline_smote(df, "id", "v", "lab", 1, 0)
+    assert new.count() == sum(lab == 0) - sum(lab == 1) and all(len(r.v) == 12 for r in new.collect())
