@@ -9,7 +9,8 @@ the rest best. A splitting tree deals the exact number of blocks of every
 source to output shards: at each node a multivariate hypergeometric draw
 decides how many blocks of each source go left, and so on down to single
 shards. Shards take disjoint runs of each source's block sequence and order
-their rows by a local hash.
+their rows by a local hash; a document is taken as often as shards' runs meet
+its block, so what the tree deals is what is drawn.
 
 Only per-source totals, the boundary blocks' sizes and the sources x shards
 quota table meet on the driver; whether a row is drawn, how often and into
@@ -32,6 +33,7 @@ MAX_EPOCHS = 3
 BLOCK_ROWS = 256                   # expected rows of a block ...
 MAX_BLOCKS = 1 << 16               # ... until a source has this many
 OUT_SHARDS = 16
+PART_BYTES = 128 << 20             # a shard of more text is several partitions
 MAX_SOURCES = 100_000              # bound of the per-source tables on the driver
 SPACE = 1 << 60
 
@@ -78,18 +80,16 @@ def split_quotas(blocks: Sequence[int], shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, shards: int = OUT_SHARDS,
-         seed: int = 7, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
-    """Per row of ``docs``: _row (its columns), _size, _source_size, _target
-    and _shards: the output shard of every time it is drawn (empty: not drawn).
-
-    A null text has no words and is never drawn; a null source is a source of
-    its own, last in order. Rows that repeat key and size are drawn alike."""
+def _plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, shards: int = OUT_SHARDS,
+          seed: int = 7, text: str = "text", source: str = "source", key: str = "doc_id") -> tuple[DataFrame, int]:
+    """The rows of ``plan`` and the expected bytes of all drawn texts."""
     sized = docs.select(F.struct(*docs.columns).alias("_row"), F.col(source).alias("_source"),
-                        word_count(F.col(text)).alias("_size")) \
+                        word_count(F.col(text)).alias("_size"),
+                        F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long").alias("_bytes")) \
         .withColumn("_key", hash60(f"mix{seed}", F.col("_row")[key], F.col("_size")))
-    slim = materialize(sized.select("_source", "_size", "_key"), "mix-sizes")
-    stats = slim.groupBy("_source").agg(F.sum("_size").alias("words"), F.count(F.lit(1)).alias("rows")) \
+    slim = materialize(sized.select("_source", "_size", "_bytes", "_key"), "mix-sizes")
+    stats = slim.groupBy("_source").agg(F.sum("_size").alias("words"), F.count(F.lit(1)).alias("rows"),
+                                        F.sum("_bytes").alias("bytes")) \
         .orderBy(F.col("_source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect()
     if len(stats) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -139,8 +139,9 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, shards: int = OUT_
     drawn = [epochs * blocks + (edges[s].end_block + 1 if s in edges else 0)
              for s, _, _, epochs, _, blocks in rows]
     dealt = split_quotas(drawn, shards, seed).cumsum(axis=0) if rows else np.zeros((shards, 0), np.int64)
+    drawn_bytes = sum(int(r.bytes * t / r.words) for r, t in zip(stats, goal) if r.words)
     full = [(s, size, t, epochs, blocks, *((e.end_block, e.last_key, e.extra_key) if (e := edges.get(s)) else (None,) * 3),
-             [int(x) for x in dealt[:-1, i]])
+             [int(x) for x in dealt[:, i]])
             for i, (s, size, t, epochs, _, blocks) in enumerate(rows)]
     table = spark.createDataFrame(full, "_source string, _source_size long, _target double, epochs long, blocks long, "
                                         "end_block long, last_key long, extra_key long, dealt array<long>")
@@ -153,25 +154,49 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, shards: int = OUT_
               | F.coalesce(F.col("_key") == F.col("extra_key"), F.lit(False)))), F.lit(False))
     times = F.when(F.col("_size") > 0, F.col("epochs") + partly.cast("long")).otherwise(F.lit(0)).cast("int")
     seq = F.slice(F.sequence(F.lit(0), F.lit(MAX_EPOCHS)), 1, times)
+    # a shard's run ends where its dealt blocks do; a draw beyond the last run is nobody's
     shard = F.transform(seq, lambda e: F.size(F.filter(
         "dealt", lambda d: d <= e * F.col("blocks") + F.col("_block"))))
-    return out.select("_row", "_size", "_source_size", "_target", shard.alias("_shards"))
+    return out.select("_row", "_size", "_source_size", "_target",
+                      F.filter(shard, lambda s: s < shards).alias("_shards")), drawn_bytes
+
+
+def plan(docs: DataFrame, **options) -> DataFrame:
+    """Per row of ``docs``: _row (its columns), _size, _source_size, _target
+    and _shards: the output shard of every time it is drawn (empty: not drawn).
+
+    A null text has no words and is never drawn; a null source is a source of
+    its own, last in order. Rows that repeat key and size are drawn alike."""
+    return _plan(docs, **options)[0]
+
+
+def draws(docs: DataFrame, **options) -> DataFrame:
+    """One row for each draw, laid out by output shard: _row (the columns of
+    ``docs``), _size, _shard, _part and _local, the place of the draw in the
+    shard's seeded order. A shard is cut into as many parts (ranges of _local)
+    as its bytes need, each one partition, so no task grows with the input."""
+    key, text, seed = options.get("key", "doc_id"), options.get("text", "text"), options.get("seed", 7)
+    shards = options.get("shards", OUT_SHARDS)
+    planned, drawn_bytes = _plan(docs, **options)
+    parts = max(1, -(-drawn_bytes // (shards * PART_BYTES)))
+    each = planned.select("_row", "_size", F.posexplode("_shards").alias("_n", "_shard")) \
+        .withColumn("_local", F.xxhash64(F.lit(f"local{seed}"), F.col("_row")[key], F.col("_row")[text], F.col("_n"))) \
+        .withColumn("_local", F.shiftrightunsigned("_local", 33)) \
+        .withColumn("_part", F.shiftrightunsigned(F.col("_local") * F.lit(parts), 31).cast("int")) \
+        .select("_row", "_size", "_shard", "_part", "_local")
+    return each.repartitionById(shards * parts, F.col("_shard") * parts + F.col("_part")) \
+        .sortWithinPartitions("_local", F.col("_row")[key])
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed rows: every draw of a row is a row, in output shards, each in
     a seeded local order; the columns of ``docs`` are unchanged."""
-    key = options.get("key", "doc_id")
-    shards = options.get("shards", OUT_SHARDS)
-    p = plan(docs, **options)
-    drawn = p.withColumn("_draw", F.explode(F.transform("_shards", lambda s, i: F.struct(s.alias("shard"), i.alias("n")))))
-    return drawn.repartition(shards, F.col("_draw.shard")) \
-        .sortWithinPartitions(F.col("_draw.shard"), F.xxhash64(F.lit("local"), F.col("_row")[key], F.col("_draw.n"))) \
-        .select("_row.*")
+    return draws(docs, **options).select("_row.*")
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
-    """Per row: doc_id, size, source_size, target of its source, words taken."""
+    """Per row: doc_id, size, source_size, target of its source, words taken
+    (its size for every shard's run that draws it)."""
     p = plan(docs.select("doc_id", "text", "source"), **options)
     return p.select("_row.doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
                     F.col("_target").alias("target"), (F.size("_shards") * F.col("_size")).cast("long").alias("taken"))

@@ -86,6 +86,49 @@ def test_draws_are_disjoint_runs_of_blocks(corpus, monkeypatch):
     assert {(r["_size"], r.epochs) for r in rows} == {("s", "e")}
 
 
+def test_the_tree_decides_what_is_drawn(corpus, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 16)
+    asked = {}
+
+    def kept(blocks, shards, seed, deal=mixing.split_quotas):
+        asked["dealt"] = deal(blocks, shards, seed)
+        return asked["dealt"]
+
+    monkeypatch.setattr(mixing, "split_quotas", kept)
+    rows = mixing.draws(corpus).collect()
+    # every source's blocks in a shard are as many as the tree dealt (a block without rows shows none)
+    seen = {}
+    for r in rows:
+        seen[r["_shard"]] = seen.get(r["_shard"], 0) + 1
+    dealt = asked["dealt"].sum(axis=1)
+    assert set(seen) == {i for i, n in enumerate(dealt) if n}
+    assert max(seen.values()) < 2 * len(rows) / mixing.OUT_SHARDS
+    monkeypatch.setattr(mixing, "split_quotas", lambda blocks, shards, seed: np.zeros((shards, len(blocks)), np.int64))
+    assert sum(r.taken for r in mixing.taken(corpus).collect()) == 0
+
+    def last_only(blocks, shards, seed):
+        out = np.zeros((shards, len(blocks)), np.int64)
+        out[-1] = blocks
+        return out
+
+    monkeypatch.setattr(mixing, "split_quotas", last_only)
+    assert {r["_shard"] for r in mixing.draws(corpus).collect()} == {mixing.OUT_SHARDS - 1}
+
+
+def test_big_shards_are_cut_into_parts(corpus, monkeypatch):
+    whole = mixing.mix(corpus)
+    assert whole.rdd.getNumPartitions() == mixing.OUT_SHARDS
+    monkeypatch.setattr(mixing, "PART_BYTES", 2000)
+    rows = mixing.draws(corpus)
+    parts = rows.rdd.getNumPartitions()
+    got = rows.rdd.mapPartitions(lambda it: [[(r["_shard"], r["_part"], r["_local"]) for r in it]]).collect()
+    assert parts > 2 * mixing.OUT_SHARDS and parts % mixing.OUT_SHARDS == 0
+    for i, p in enumerate(got):
+        assert {s * (parts // mixing.OUT_SHARDS) + n for s, n, _ in p} <= {i}
+        assert [x[2] for x in p] == sorted(x[2] for x in p)
+    assert sorted(whole.collect(), key=str) == sorted(mixing.mix(corpus).collect(), key=str)
+
+
 def test_edge_cases(spark, docs, no_docs):
     got = mixing.taken(docs).collect()
     assert len(got) == docs.count()
