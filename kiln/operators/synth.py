@@ -1,15 +1,15 @@
 """Synthetic rows: class-wise Gaussian copula (G6) with class quotas.
 
-Per class and column: exact ranks (``ordered_scan``; buckets are approximate
-quantiles of the column within the class, so a class holding a third of the
-rows is still spread over many tasks) -> normal scores ``Phi^-1(r/(n+1))``
--> the p x p correlation of the scores per class (sums of products, added up
-per Arrow batch and then per class; k small matrices go to the driver) ->
-Cholesky factor per class. The ranked rows are written once and read back.
-Synthetic rows are drawn on the executors: ``spark.range(N)``, a class by
-cumulative quota, p seeded normal draws mixed by the class's factor, mapped
-to ``u = Phi(z)`` and back to data values by the empirical quantile -- an
-equi-join on (class, column, rank) with the ranked source rows.
+The marginals are mergeable quantile tables (``quantiles.quantile_cells``):
+value cells with exact counts per class and column, none holding over 1 / 256
+of the rows unless they are equal. A value's rank is read off the table
+(a rank is off by less than one cell's rows) -> normal scores
+``Phi^-1(r/(n+1))`` -> the p x p correlation of the scores per class (sums of
+products, added up per Arrow batch and then per class; k small matrices go to
+the driver), corrected for tied values -> Cholesky factor per class. Synthetic rows are drawn on the
+executors: ``spark.range(N)``, a class by cumulative quota, p seeded normal
+draws mixed by the class's factor, mapped to ``u = Phi(z)`` and back to values
+by the same table. Only counts of cells and sums of products are shuffled.
 
 With empirical marginals, the per-class z-scoring before the fit and its
 inverse after sampling cancel out, so they are not applied separately.
@@ -19,16 +19,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.operators.ordered import ordered_scan
+from kiln.operators.quantiles import QuantileTable, coded, matrix, quantile_cells
 from kiln.operators.split import largest_remainder
 from kiln.operators.stats import count_by
-from kiln.session import materialize
 
 # ---- fixed values: coefficients of published approximations ---------------
 # Inverse normal CDF, rational approximation by P. J. Acklam (no refinement step;
@@ -67,43 +67,58 @@ def norm_ppf(p: Column) -> Column:
     return F.when(p < _P_LOW, lo).when(p > 1 - _P_LOW, hi).otherwise(mid)
 
 
-def norm_cdf(z: Column) -> Column:
-    """Standard normal CDF, as a column expression."""
-    x = F.abs(z) / F.lit(math.sqrt(2.0))
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(_ERF_P) * x)
-    poly = _horner(tuple(reversed(_ERF_A)), t) * t
-    erf = F.lit(1.0) - poly * F.exp(-x * x)
-    return F.when(z >= 0, F.lit(0.5) * (F.lit(1.0) + erf)).otherwise(F.lit(0.5) * (F.lit(1.0) - erf))
-
-
-def _ranked_long(df: DataFrame, id_col: str, label: str, cols: Sequence[str],
-                 quantile_buckets: int) -> DataFrame:
-    """(label, j, id, value, rank, n) with exact ranks within (label, j)."""
-    long = df.select(id_col, label, F.posexplode(F.array(*[F.col(c).cast("double") for c in cols]))
-                     .alias("j", "value"))
-    probs = [i / quantile_buckets for i in range(1, quantile_buckets)]
-    bounds = long.groupBy(label, "j").agg(F.percentile_approx("value", probs, 1000).alias("_bounds"))
-    b = long.join(F.broadcast(bounds), [label, "j"])   # k*p rows, one per (class, column)
-    bucket = F.size(F.filter("_bounds", lambda x: x < F.col("value")))
-    # ties are broken by a hash of (row, column): ties of one column say nothing about another's
-    return ordered_scan(b, [F.col("value"), F.xxhash64(F.col(id_col), F.col("j")), F.col(id_col)], bucket, [label, "j"],
-                        rank_col="rank", size_col="n").drop("_bounds")
-
-
-def _matrix(column: pa.Array, p: int) -> np.ndarray:
-    """An array column of ``p`` doubles a row as a matrix; null is NaN."""
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, p)
-
-
-def _pair_sums(p: int):
-    """Per class code and pair (a, b) of columns, over the rows where both are
+def normal_scores(p: np.ndarray) -> np.ndarray:
+    """``norm_ppf`` of an array; NaN stays NaN."""
+    tail = np.sqrt(-2.0 * np.log(np.minimum(p, 1.0 - p)))
+    ends = np.polyval(_C, tail) / (np.polyval(_D, tail) * tail + 1.0)
+    r = (p - 0.5) ** 2
+    mid = np.polyval(_A, r) * (p - 0.5) / (np.polyval(_B, r) * r + 1.0)
+    return np.where(p < _P_LOW, ends, np.where(p > 1.0 - _P_LOW, -ends, mid))
+
+
+def normal_cdf(z: np.ndarray) -> np.ndarray:
+    """Standard normal CDF."""
+    x = np.abs(z) / math.sqrt(2.0)
+    t = 1.0 / (1.0 + _ERF_P * x)
+    erf = 1.0 - np.polyval(_ERF_A[::-1], t) * t * np.exp(-x * x)
+    return np.where(z >= 0, 0.5 * (1.0 + erf), 0.5 * (1.0 - erf))
+
+
+def _scores(x: np.ndarray, code: int, table: QuantileTable) -> np.ndarray:
+    p = x.shape[1]
+    return normal_scores(np.stack([table.ranks(code * p + j, x[:, j]) for j in range(p)], axis=1))
+
+
+def _tie_factor(table: QuantileTable, g: int) -> float:
+    """Correlation of a column's scores with the normal variable behind them:
+    1 without ties, less when many rows share a value (0.80 for a coin). The
+    latent correlation of two columns is their scores' over both factors."""
+    if g not in table.start:
+        return 1.0
+    cells = slice(*table.start[g])
+    share = table.n[cells] / table.total[cells]
+    edges = np.r_[0.0, np.cumsum(share)[:-1], 1.0]
+    inner = normal_scores(edges[1:-1])
+    density = np.r_[0.0, np.exp(-inner * inner / 2.0) / math.sqrt(2.0 * math.pi), 0.0]
+    moment = density * np.r_[0.0, inner, 0.0]
+    mean = (density[:-1] - density[1:]) / share
+    square = 1.0 + (moment[:-1] - moment[1:]) / share
+    tied = (table.lo[cells] == table.hi[cells]) & (table.n[cells] > 1)
+    score = np.where(tied, normal_scores((table.before[cells] + (table.n[cells] + 1) / 2.0) / (table.total[cells] + 1.0)), mean)
+    along = np.where(tied, score * mean, square)
+    spread = (share * np.where(tied, score * score, square)).sum() - (share * score).sum() ** 2
+    return float(min(1.0, (share * along).sum() / math.sqrt(spread))) if spread > 0 else 1.0
+
+
+def _pair_sums(p: int, table: QuantileTable):
+    """Normal scores by the quantile table; per class code and pair (a, b) of columns, over the rows where both are
     present: rows, sum of a, sum of a squared, sum of a*b."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            z, code = _matrix(batch.column("z"), p), batch.column("code").to_numpy()
+            rows, code = matrix(batch.column("x"), p), batch.column("code").to_numpy()
             for c in np.unique(code):
-                x = z[code == c]
+                x = _scores(rows[code == c], int(c), table)
                 there = (~np.isnan(x)).astype(np.float64)
                 x = np.nan_to_num(x)
                 part = np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
@@ -115,68 +130,77 @@ def _pair_sums(p: int):
     return run
 
 
-def fit_copula(df: DataFrame, id_col: str, label: str, cols: Sequence[str],
-               quantile_buckets: int = 64):
-    """Fit: ranked long table (written once) and, per class, the Cholesky factor
-    of the normal-score correlation (k small matrices, collected)."""
-    ranked = materialize(_ranked_long(df, id_col, label, cols, quantile_buckets)
-                         .select(label, "j", id_col, "value", "rank", "n"), "copula-ranked")
-    z = ranked.withColumn("z", norm_ppf(F.col("rank") / (F.col("n") + F.lit(1.0))))
+@dataclass
+class Copula:
+    """The fitted classes, each one's Cholesky factor and the marginals."""
+    classes: list
+    factors: list
+    table: QuantileTable
+
+
+def fit_copula(df: DataFrame, label: str, cols: Sequence[str], cells: int = 256) -> Copula:
+    """Fit: the marginals' cells and, per class, the Cholesky factor of the
+    normal-score correlation (k small matrices, collected). Nulls, NaN and
+    infinities take no part; a pair of columns counts rows that have both."""
     p = len(cols)
-    classes = [r[0] for r in df.select(label).distinct().collect()]        # k classes
-    code = F.coalesce(*[F.when(F.col(label).eqNullSafe(F.lit(c)), F.lit(i)) for i, c in enumerate(classes)]) \
-        if classes else F.lit(None).cast("int")
-    wide = z.groupBy(label, id_col).agg(*[F.max(F.when(F.col("j") == j, F.col("z"))).alias(f"z{j}")
-                                          for j in range(p)])
-    sums = wide.select(code.alias("code"), F.array(*[f"z{j}" for j in range(p)]).alias("z")) \
-        .mapInArrow(_pair_sums(p), "code int, a int, b int, n double, sa double, saa double, sab double") \
+    source = coded(df, label, cols)
+    table = quantile_cells(source, cells)
+    classes = source.classes
+    sums = source.rows.mapInArrow(_pair_sums(p, table), "code int, a int, b int, n double, sa double, saa double, sab double") \
         .groupBy("code", "a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "saa", "sab")])
     found = {c: np.zeros((4, p, p)) for c in range(len(classes))}
     for r in sums.collect():                                               # k * p * p rows
         found[r.code][:, r.a, r.b] = r.n, r.sa, r.saa, r.sab
-    factors = {}
+    factors = []
     for c, (n, sa, saa, sab) in found.items():
         with np.errstate(divide="ignore", invalid="ignore"):
             spread = saa - sa * sa / n
             m = (sab - sa * sa.T / n) / np.sqrt(spread * spread.T)
-        m = np.where(np.isfinite(m), m, 0.0)
+        untied = np.array([_tie_factor(table, c * p + j) for j in range(p)])
+        m = np.clip(m / np.outer(untied, untied), -1.0, 1.0)
+        # rounded: sums added up in another order give the same factor
+        m = np.round(np.where(np.isfinite(m), m, 0.0), 9)
         np.fill_diagonal(m, 1.0)
         w, vecs = np.linalg.eigh(m)                 # keep the matrix positive definite
         m = vecs @ np.diag(np.clip(w, 1e-9, None)) @ vecs.T
         d = np.sqrt(np.diag(m))
-        factors[classes[c]] = np.linalg.cholesky(m / np.outer(d, d)).tolist()
-    return ranked, factors
+        factors.append(np.linalg.cholesky(m / np.outer(d, d)))
+    return Copula(classes, factors, table)
 
 
-def _mixed(factors: list, p: int):
-    """Independent normal draws times the factor of the row's class."""
+def _drawn(model: Copula, p: int):
+    """Independent normal draws times the factor of the row's class, mapped to
+    values by the class's marginals."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lower = [np.array(f) for f in factors]
         for batch in batches:
-            e, code = _matrix(batch.column("e"), p), batch.column("_ci").to_numpy()
-            z = np.empty_like(e)
+            e, code = matrix(batch.column("e"), p), batch.column("_ci").to_numpy()
+            x = np.empty_like(e)
             for c in np.unique(code):
                 # column by column: a row's sums do not depend on which rows share its batch
-                x = e[code == c]
-                z[code == c] = np.stack([(x[:, :i + 1] * lower[c][i, :i + 1]).cumsum(axis=1)[:, -1] for i in range(p)], axis=1)
-            offsets = pa.array(np.arange(len(z) + 1, dtype=np.int32) * p)
+                mine = e[code == c]
+                z = np.stack([(mine[:, :i + 1] * model.factors[c][i, :i + 1]).cumsum(axis=1)[:, -1] for i in range(p)], axis=1)
+                x[code == c] = np.stack([model.table.values(int(c) * p + j, u) for j, u in enumerate(normal_cdf(z).T)], axis=1)
+            offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * p)
+            values = pa.array(x.ravel(), mask=np.isnan(x.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column("sid"), batch.column("_ci"),
-                                              pa.ListArray.from_arrays(offsets, pa.array(z.ravel()))], names=["sid", "_ci", "z"])
+                                              pa.ListArray.from_arrays(offsets, values)], names=["sid", "_ci", "x"])
     return run
 
 
 def sample_copula(df: DataFrame, id_col: str, label: str, cols: Sequence[str], n_rows: int,
-                  seed: int = 0, quantile_buckets: int = 64, partitions: int | None = None) -> DataFrame:
+                  seed: int = 0, cells: int = 256, partitions: int | None = None) -> DataFrame:
     """G6 + G7: ``n_rows`` synthetic rows, classes in proportion to the source
     (largest remainder quotas), each class from its own copula. Output:
-    (sid, label, *cols)."""
+    (sid, label, *cols). A column without values in a class is null there; an
+    empty source gives no rows. ``id_col`` takes no part."""
     spark = df.sparkSession
-    ranked, factors = fit_copula(df, id_col, label, cols, quantile_buckets)
-    quotas = largest_remainder(count_by(df, [label]), label, "n", n_rows) \
-        .orderBy(label).select(label, "quota").collect()   # k rows
-    classes = [r[label] for r in quotas]
-    cum = np.cumsum([int(r["quota"]) for r in quotas]).tolist()
     p = len(cols)
+    model = fit_copula(df, label, cols, cells)
+    if not model.classes:
+        return df.select(F.lit(0).cast("long").alias("sid"), label, *[F.col(c).cast("double").alias(c) for c in cols]).limit(0)
+    quota = {r[label]: int(r["quota"]) for r in
+             largest_remainder(count_by(df, [label]), label, "n", n_rows).select(label, "quota").collect()}   # k rows
+    cum = np.cumsum([quota[c] for c in model.classes]).tolist()
     parts = partitions or spark.sparkContext.defaultParallelism
     base = spark.range(0, n_rows, 1, parts).withColumnRenamed("id", "sid")
     cidx = F.size(F.filter(F.array(*[F.lit(c) for c in cum]), lambda c: c <= F.col("sid")))
@@ -186,13 +210,6 @@ def sample_copula(df: DataFrame, id_col: str, label: str, cols: Sequence[str], n
         F.concat_ws(":", F.lit(str(seed)), j.cast("string"), F.col("sid").cast("string"))), 1, 8), 16, 10)
         .cast("double") + 0.5) / 4294967296.0)
     syn = base.select("sid", "_ci", F.transform(draws, norm_ppf).alias("e")) \
-        .mapInArrow(_mixed([factors[c] for c in classes], p), "sid long, _ci int, z array<double>")
-    long = syn.select("sid", F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("_ci") + 1).alias(label),
-                      F.posexplode("z").alias("j", "_z")) \
-        .select("sid", label, "j", norm_cdf(F.col("_z")).alias("u"))
-    sizes = ranked.select(label, "j", "n").distinct()
-    long = long.join(F.broadcast(sizes), [label, "j"]).withColumn(
-        "rank", F.least(F.greatest(F.ceil(F.col("u") * F.col("n")), F.lit(1)), F.col("n")).cast("bigint"))
-    vals = long.join(ranked.select(label, "j", "rank", "value"), [label, "j", "rank"])
-    return vals.groupBy("sid", label).agg(*[F.max(F.when(F.col("j") == j, F.col("value"))).alias(c)
-                                            for j, c in enumerate(cols)])
+        .mapInArrow(_drawn(model, p), "sid long, _ci int, x array<double>")
+    named = F.element_at(F.array(*[F.lit(c).cast(df.schema[label].dataType) for c in model.classes]), F.col("_ci") + 1)
+    return syn.select("sid", named.alias(label), *[F.get("x", F.lit(j)).alias(c) for j, c in enumerate(cols)])

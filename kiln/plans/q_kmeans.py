@@ -169,6 +169,23 @@ def q_sample_category(spark, sf_dir):
                                               seed=3).alias("draw"))
 
 
+@query("quantiles_per_class", sql="""
+WITH v AS (SELECT label, unnest(range(len(embedding)))::INTEGER AS j, unnest(embedding)::DOUBLE AS x FROM embeddings),
+r AS (SELECT label, j, x, row_number() OVER (PARTITION BY label, j ORDER BY x) AS rk,
+             count(*) OVER (PARTITION BY label, j) AS n FROM v WHERE isfinite(x)),
+p AS (SELECT unnest([0.0, 0.125, 0.25, 0.5, 0.75, 0.875, 1.0]::DOUBLE[]) AS prob)
+SELECT r.label, r.j, p.prob, r.n, r.x AS value FROM r JOIN p ON r.rk = greatest(1, ceil(p.prob * r.n))
+""")
+def q_quantiles_per_class(spark, sf_dir):
+    """G6 + W6: exact quantiles of every embedding dim in every class, by
+    counting value cells over passes (no sort, no ranks)."""
+    from kiln.operators.quantiles import exact_quantiles
+    e = _emb(spark, sf_dir)
+    dims = e.agg(F.max(F.size("embedding")).alias("d")).first().d or 0
+    return exact_quantiles(e, "label", [F.get("embedding", F.lit(i)) for i in range(dims)],
+                           [0.0, 0.125, 0.25, 0.5, 0.75, 0.875, 1.0])
+
+
 @query("copula_synth")
 def q_copula_synth(spark, sf_dir):
     """G6 + G7: synthetic rows of all embedding dims, as many as the source
