@@ -81,13 +81,17 @@ def test_likeness_follows_overlap():
 
 def test_anchors(docs):
     rows = syncmers.anchors(docs).where("doc_id in (2, 5, 6, 8)").collect()
-    assert {r.doc_id for r in rows} == {2, 8} and [r.pos for r in rows if r.doc_id == 8] == [0]
+    assert {r.doc_id for r in rows} == {2, 8}
+    text = {r.doc_id: r.text for r in docs.where("doc_id in (2, 8)").collect()}
+    for d in (2, 8):
+        pos, h = syncmers.text_anchors(cps(text[d]))
+        assert [(r.pos, r.anchor) for r in rows if r.doc_id == d] == list(zip(pos.tolist(), h.view(np.int64).tolist()))
 
 
 def test_likeness_from_all_anchors_in_order(spark):
     rng = random.Random(6)
     letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
-    alike = lambda a, b: syncmers.alike(syncmers.Text(cps(a)), syncmers.Text(cps(b)))
+    alike = lambda a, b: syncmers.likeness(syncmers.text_fingerprint(cps(a)), syncmers.text_fingerprint(cps(b)))
     # a text's first half is found again at every length
     for n in (1, 2, 3, 7, 8, 15, 16, 20, 30, 31, 50, 63, 64, 200, 511, 512, 2000):
         t = letters(n)
@@ -104,3 +108,51 @@ def test_likeness_from_all_anchors_in_order(spark):
     rows = [(i, letters(24)) for i in range(30)]
     got = syncmers.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert min(r.near_edited for r in got) > 0.2
+
+
+def test_near_columns_come_from_the_printed_fingerprints(spark, docs):
+    rows = [(i, prose(i % 13, 3 + 17 * (i % 9))) for i in range(80)] + [(80, None), (81, ""), (82, "é")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted(syncmers.fingerprints(df).collect(), key=lambda r: r.doc_id)
+    for i, r in enumerate(got):
+        mine, edited = syncmers.unpack(r.fingerprint), syncmers.unpack(r.edited_fingerprint)
+        assert r.near_edited == syncmers.likeness(mine, edited)
+        assert r.near_next == syncmers.likeness(mine, syncmers.unpack(got[(i + 1) % len(got)].fingerprint))
+        assert (r.fingerprint == "") == (r.n_chars == 0)
+
+
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = row[:]
+        for j, y in enumerate(b):
+            row[j + 1] = before[j] + 1 if x == y else max(row[j], before[j + 1])
+    return row[-1]
+
+
+def test_likeness_against_longest_common_subsequence():
+    rng = random.Random(8)
+    for trial in range(200):
+        a = np.array(rng.sample(range(60), rng.randrange(1, 40)), np.uint32) << 3
+        b = np.array(rng.sample(range(60), rng.randrange(1, 40)), np.uint32) << 3
+        assert syncmers.likeness(a, b) == 2 * longest_common(a.tolist(), b.tolist()) / (len(a) + len(b))
+        a, b = (np.array([rng.randrange(6) for _ in range(30)], np.uint32) << 3 for _ in range(2))      # with repeats: a bound
+        assert syncmers.likeness(a, b) <= 2 * longest_common(a.tolist(), b.tolist()) / 60
+        assert syncmers.likeness(a, b) == syncmers.likeness(b, a)
+
+
+def test_one_rule_at_every_length():
+    rng = random.Random(9)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    alike = lambda a, b: syncmers.likeness(syncmers.text_fingerprint(cps(a)), syncmers.text_fingerprint(cps(b)))
+    mean = []
+    for n in range(1, 90):
+        mean.append(np.mean([alike(letters(n), letters(n)) for _ in range(60)]))
+    assert max(mean) < 0.16 and max(abs(x - y) for x, y in zip(mean[4:], mean[5:])) < 0.06
+    assert max(mean[40:]) < 0.02
+    for text in (letters(1), letters(5), letters(11), letters(12), letters(13), letters(300)):
+        words = syncmers.text_fingerprint(cps(text))
+        pos, _ = syncmers.syncmers(np.concatenate([syncmers.BOUNDARY, cps(text)]), syncmers.K - syncmers.S)
+        assert syncmers.positions(words).tolist() == pos.tolist() and len(words) >= min(len(text), syncmers.K - syncmers.S)
+        assert np.diff(pos).max(initial=0) <= syncmers.K - syncmers.S + 1
+        assert syncmers.pack(words) and (syncmers.unpack(syncmers.pack(words)) == words).all()
