@@ -15,9 +15,10 @@ Work stays linear in the size of a group of copies:
 * each band bucket first meets only its hub (its smallest id); confirmed links
   are merged into components;
 * only buckets whose members still lie in several components are looked at
-  again: their members are compared in blocks inside tasks, across components
-  only, by sketch and then by their smallest shingle hashes (a small set
-  entirely, so exactly), and just the close pairs leave the task.
+  again: blocks of members meet in tasks with their full sets, a prefix filter
+  (rarest shingles first) finds the pairs across components that can reach the
+  threshold, the sketches drop the hopeless ones, the full sets confirm, and
+  one link for each two components leaves the task.
 
 With ``BANDS`` bands of 4 registers a pair at similarity 0.75 shares no band
 with probability about 5e-6; nothing is capped or sampled."""
@@ -44,9 +45,10 @@ BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 BASE, RATE = 1.005, 20.0           # spacing of the levels, rate of the exponential values
 SLACK = 0.17                       # estimates below threshold - SLACK are dropped (> 4 sigma)
-BLOCK = 1024                       # bucket members per block of the second look
-SAMPLE = 256                       # smallest shingle hashes that members bring to it: all of a small set
-SAMPLE_SLACK = 0.12                # where one is a sample, its estimate may fall short by this (> 4 sigma)
+BLOCK = 1024                       # bucket members per block of the second look ...
+BLOCK_SHINGLES = 1 << 20           # ... and shingles, about
+FEW = 32                           # so few members are compared without a prefix filter
+EXPAND = 1 << 20                   # candidate matches looked at together
 
 _MULT = seeded(REGISTERS, 11) | np.uint64(1)
 _ADD = seeded(REGISTERS, 12)
@@ -216,68 +218,121 @@ def _confirmed(plausible: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     return materialize(links.select("a", "b"), f"{name}-links")
 
 
-def sampled_close(small: np.ndarray, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """For pairs of rows (x, y) of ``small`` (the smallest hashes of each set,
-    ascending, padded with the maximum): exact threshold where both sets are
-    wholly there, else whether the estimate from the hashes that both samples
-    cover comes within ``SAMPLE_SLACK`` of it."""
-    out = np.zeros(len(x), bool)
-    pad = np.iinfo(np.uint64).max
-    for at in range(0, len(x), 4096):
-        i, j = x[at:at + 4096], y[at:at + 4096]
-        a, b = small[i], small[j]
-        cut = np.minimum(np.where(n[i] > SAMPLE, a[:, -1], pad), np.where(n[j] > SAMPLE, b[:, -1], pad))[:, None]
-        n_a, n_b = ((a <= cut) & (a < pad)).sum(axis=1), ((b <= cut) & (b < pad)).sum(axis=1)
-        both = np.sort(np.concatenate([np.where(a <= cut, a, pad), np.where(b <= cut, b, pad)], axis=1), axis=1)
-        shared = ((both[:, 1:] == both[:, :-1]) & (both[:, 1:] < pad)).sum(axis=1)
-        union = n_a + n_b - shared
-        whole = (n[i] <= SAMPLE) & (n[j] <= SAMPLE)
-        out[at:at + 4096] = np.where(whole, 100 * shared >= MIN_PERCENT * union,
-                                     shared >= (MIN_PERCENT / 100 - SAMPLE_SLACK) * union)
-    return out
-
-
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Plausible pairs between blocks of open buckets. Rows arrive sorted by
-    (bucket, meeting); one meeting holds at most two blocks."""
-    def pairs(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
-        t = pa.Table.from_batches(rows).combine_chunks()
-        block = t["block"].to_numpy()
-        first, second = t["i"][0].as_py(), t["j"][0].as_py()
-        ids, comp, n = (t[c].to_numpy() for c in ("rep", "component", "n_shingles"))
-        sk = _unpack(t["sketch"].chunk(0) if isinstance(t["sketch"], pa.ChunkedArray) else t["sketch"])
-        bands = sk.view(np.int64)
-        band = t["band"][0].as_py()
-        flat = t["sample"].chunk(0) if isinstance(t["sample"], pa.ChunkedArray) else t["sample"]
-        lengths = np.diff(flat.offsets.to_numpy())
-        small = np.full((len(lengths), SAMPLE), np.iinfo(np.uint64).max, np.uint64)
-        small[np.arange(SAMPLE) < lengths[:, None]] = \
-            flat.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
-        # at least this many equal registers at the level, whatever the sizes (4 more sigma to spare)
-        equal_least = int(REGISTERS * (MIN_PERCENT / 100 - SLACK) * 0.9)
-        left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
-        out = []
-        for at in range(0, len(left), 32):
-            x, y = np.meshgrid(left[at:at + 32], right, indexing="ij")
-            use = (comp[x] != comp[y]) & \
-                (np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * MIN_PERCENT)
-            if first == second:
-                use &= y > x
-            x, y = x[use], y[use]
-            same = (sk[x] == sk[y]).sum(axis=1)
-            x, y = x[same >= equal_least], y[same >= equal_least]
-            once = (bands[x] == bands[y]).argmax(axis=1) == band      # their first common band
-            x, y = x[once], y[once]
-            more, less = (sk[x] > sk[y]).sum(axis=1), (sk[x] < sk[y]).sum(axis=1)
-            near = comes_near(more, less, n[x], n[y])
-            x, y = x[near], y[near]
-            close = sampled_close(small, x, y, n)
-            out.append(np.stack([ids[x[close]], ids[y[close]]]))
-        both = np.sort(np.concatenate(out, axis=1), axis=0)
-        if not both.shape[1]:
-            return None
-        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
-
+def prefix_pairs(values: np.ndarray, n: np.ndarray, comp: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows (x, y) of different components, and of different blocks
+    where there are two, that can reach the threshold; ``values`` holds the
+    rows' sets one after another, ``n`` their sizes.
+
+    Every set is ordered by how many sets hold a shingle, rarest first. Two
+    sets that reach the threshold share a shingle among the first
+    n - ceil(2t / (1 + t) n) + 1 of the smaller and the first n - ceil(t n) + 1
+    of the larger one, and what follows their first common shingle must be
+    long enough. Texts that only have a frequent template in common meet at
+    no prefix, so no pairs are made of them."""
+    row = np.repeat(np.arange(len(n)), n)
+    _, code, count = np.unique(values, return_inverse=True, return_counts=True)
+    order = np.argsort(count, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    rank = rank[code]
+    rank = rank[np.lexsort((rank, row))]
+    place = np.arange(len(rank)) - np.repeat(np.cumsum(n) - n, n)
+    common = count[order][rank] > 1
+    long_prefix = n + (-MIN_PERCENT * n) // 100 + 1
+    short_prefix = n + (-2 * MIN_PERCENT * n) // (100 + MIN_PERCENT) + 1
+    ys = np.flatnonzero(common & (place < long_prefix[row]))
+    xs = np.flatnonzero(common & (place < short_prefix[row]))
+    group = np.unique(comp, return_inverse=True)[1]
+    groups = int(group.max(initial=0)) + 1
+    key = rank[ys] * groups + group[row[ys]]
+    by = np.argsort(key, kind="stable")
+    ys, key = ys[by], key[by]
+    # entries of the same shingle, before and after those of the own component
+    edges = [np.searchsorted(key, k) for k in (rank[xs] * groups, rank[xs] * groups + group[row[xs]],
+                                               rank[xs] * groups + group[row[xs]] + 1, (rank[xs] + 1) * groups)]
+    two = len(np.unique(block)) > 1
+    found = []
+    for lo, hi in (edges[:2], edges[2:]):
+        size = hi - lo
+        total = np.cumsum(size)
+        at = 0
+        while at < len(xs):
+            end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + EXPAND, side="right")))
+            part = size[at:end]
+            i = np.repeat(xs[at:end], part)
+            j = ys[np.repeat(lo[at:end] - (np.cumsum(part) - part), part) + np.arange(int(part.sum()))]
+            x, y = row[i], row[j]
+            rest = np.minimum(n[x] - place[i], n[y] - place[j])      # with the match itself
+            use = ((n[x] < n[y]) | ((n[x] == n[y]) & (x < y))) & (n[x] * 100 >= n[y] * MIN_PERCENT) \
+                & (rest * (100 + MIN_PERCENT) >= (n[x] + n[y]) * MIN_PERCENT)
+            if two:
+                use &= block[x] != block[y]
+            found.append(np.unique(x[use] * len(n) + y[use]))
+            at = end
+    pair = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    return pair // len(n), pair % len(n)
+
+
+def all_pairs(n: np.ndarray, comp: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``prefix_pairs``, by sizes alone: for few rows."""
+    x, y = np.triu_indices(len(n), 1)
+    use = (comp[x] != comp[y]) & (np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * MIN_PERCENT)
+    if len(np.unique(block)) > 1:
+        use &= block[x] != block[y]
+    return x[use], y[use]
+
+
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    both = np.count_nonzero(b[at] == a)
+    return both * 100 >= (len(a) + len(b) - both) * MIN_PERCENT
+
+
+def _links_between(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+    """Confirmed links of one meeting of at most two blocks of a bucket: as
+    many as connect what the meeting's pairs connect."""
+    t = pa.Table.from_batches(rows).combine_chunks()
+    ids, comp, n, block = (t[c].to_numpy() for c in ("rep", "component", "n_shingles", "block"))
+    sets = pa.concat_arrays(t["shingles"].chunks)
+    values = sets.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
+    x, y = all_pairs(n, comp, block) if len(n) <= FEW else prefix_pairs(values, n, comp, block)
+    if not len(x):
+        return None
+    sk = _unpack(pa.concat_arrays(t["sketch"].chunks))
+    bands, band = sk.view(np.int64), t["band"][0].as_py()
+    kept = []
+    for at in range(0, len(x), 1 << 14):
+        i, j = x[at:at + (1 << 14)], y[at:at + (1 << 14)]
+        a, b = sk[i], sk[j]
+        near = (bands[i] == bands[j]).argmax(axis=1) == band          # their first common band
+        near &= comes_near((a > b).sum(axis=1), (a < b).sum(axis=1), n[i], n[j])
+        kept.append(np.stack([i[near], j[near]]))
+    start = np.cumsum(n) - n
+    top: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while (up := top.get(c, c)) != c:
+            top[c] = top.get(up, up)
+            c = up
+        return c
+
+    out = []
+    for i, j in np.concatenate(kept, axis=1).T.tolist():
+        ci, cj = root(int(comp[i])), root(int(comp[j]))
+        if ci != cj and _similar(values[start[i]:start[i] + n[i]], values[start[j]:start[j] + n[j]]):
+            top[max(ci, cj)] = min(ci, cj)
+            out.append(sorted((int(ids[i]), int(ids[j]))))
+    if not out:
+        return None
+    a, b = zip(*out)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of every meeting; rows arrive sorted by (bucket, i, j)."""
     held: list[pa.RecordBatch] = []
     key = None
     for batch in batches:
@@ -286,13 +341,13 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = [0, *cuts.tolist(), len(keys)]
         for start, end in zip(edges[:-1], edges[1:]):
             if end > start and held and tuple(keys[start]) != key:
-                if (out := pairs(held)) is not None:
+                if (out := _links_between(held)) is not None:
                     yield out
                 held = []
             if end > start:
                 key = tuple(keys[start])
                 held.append(batch.slice(start, end - start))
-    if held and (out := pairs(held)) is not None:
+    if held and (out := _links_between(held)) is not None:
         yield out
 
 
@@ -335,11 +390,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spread = placed.where("rep <> hub").groupBy("bucket") \
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     opened = materialize(placed.join(spread.select("bucket"), "bucket", "left_semi"), "opened")
-    small = _sets_of(opened.select(F.col("rep").alias("doc_id")).distinct(), docs, "opened") \
-        .select(F.col("id").alias("rep"), F.slice("shingles", 1, SAMPLE).alias("sample"))
-    fresh = materialize(_plausible_across(opened, reps, small).distinct()
-                        .join(tested, ["a", "b"], "left_anti"), "open-pairs")
-    extra = _confirmed(fresh, docs, "open")
+    sets = _sets_of(opened.select(F.col("rep").alias("doc_id")).distinct(), docs, "opened").withColumnRenamed("id", "rep")
+    extra = materialize(_links_across(opened, reps, sets), "open-links")
 
     comp = materialize(connected_components(links.unionByName(extra)), "components")
     return base.join(classes, same_set, "left") \
@@ -349,20 +401,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _plausible_across(opened: DataFrame, reps: DataFrame, small: DataFrame) -> DataFrame:
-    """Pairs of different components inside open buckets, compared in blocks of
-    ``BLOCK`` members, by sketch and then by their smallest shingle hashes; a
-    bucket of one block is one meeting, a larger one has a meeting for every
-    two blocks."""
-    opened = opened.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")) \
-        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    meet = opened.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+def _links_across(opened: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """Confirmed links between components inside open buckets. A bucket is cut
+    into blocks of about ``BLOCK`` members and ``BLOCK_SHINGLES`` shingles; one
+    of a single block is one meeting, a larger one has a meeting for every two
+    blocks."""
+    opened = opened.join(reps, "rep")
+    cut = F.greatest(F.col("size") / BLOCK, F.col("shingles_in") / BLOCK_SHINGLES)
+    blocks = opened.groupBy("bucket").agg(F.sum("n_shingles").alias("shingles_in"), F.first("size").alias("size")) \
+        .select("bucket", F.ceil(cut).cast("int").alias("blocks"))
+    meet = opened.join(blocks, "bucket") \
+        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                "band", "block", "rep", "component")
-    full = meet.join(reps, "rep").join(small, "rep") \
-        .select("bucket", "i", "j", "band", "block", "rep", "component", "n_shingles", "sketch", "sample")
-    return full.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "rep") \
-        .mapInArrow(_across, "a long, b long")
+                "band", "block", "rep", "component", "n_shingles", "sketch")
+    return meet.join(sets, "rep").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "rep") \
+        .mapInArrow(_meetings, "a long, b long")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -53,6 +53,7 @@ def test_blocks_of_a_large_bucket(spark, monkeypatch):
     base = [f"a{i}" for i in range(60)]
     texts = {d: " ".join(w if rng.random() > 0.05 else f"z{rng.randrange(30)}" for w in base) for d in range(150)}
     monkeypatch.setattr(setsketch, "BLOCK", 16)
+    monkeypatch.setattr(setsketch, "FEW", 0)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in setsketch.near_duplicates(df).collect()} == brute_components(texts)
 
@@ -92,3 +93,63 @@ def test_one_of_each_tells_rows_apart(spark):
     assert sorted(r[2] for r in free if not r[1]) == ["a", "a", "b"] and len([r for r in free if r[1]]) == 1
     assert [r for r in out if r[0] in (3, 4, 5)] == [(3, "", "a"), (4, None, "a"), (5, prose(34, 40), None)]
     assert setsketch.one_of_each(df.limit(0)).count() == 0
+
+
+def template_texts(n, rng, own=(14, 15)):
+    """Texts of one template, each with words of its own in one place: pairs
+    stay under the threshold."""
+    base = [f"t{i}" for i in range(72)]
+    return {d: " ".join(base + [f"own{d}x{k}" for k in range(rng.randint(*own))]) for d in range(n)}
+
+
+def test_prefix_pairs_lose_no_link():
+    rng = np.random.default_rng(4)
+    for trial in range(60):
+        base = rng.choice(400, 60, replace=False)
+        sets, comp = [], []
+        for r in range(40):
+            keep = base[rng.random(60) > rng.choice([0, 0.02, 0.1, 0.2, 0.9])]
+            sets.append(np.unique(np.concatenate([keep, rng.choice(400, rng.integers(1, 20))])).astype(np.uint64))
+            comp.append(r if rng.random() < 0.7 else 0)
+        n, comp = np.array([len(x) for x in sets]), np.array(comp)
+        block = np.zeros(40, np.int64) if trial % 2 else rng.integers(0, 2, 40)
+        setsketch.EXPAND, before = (50 if trial % 3 else 1 << 20), setsketch.EXPAND
+        x, y = setsketch.prefix_pairs(np.concatenate(sets), n, comp, block)
+        setsketch.EXPAND = before
+        got = {tuple(sorted(p)) for p in zip(x.tolist(), y.tolist())}
+        two = len(set(block.tolist())) > 1
+        for i in range(40):
+            for j in range(i):
+                apart = comp[i] != comp[j] and (not two or block[i] != block[j])
+                both = len(np.intersect1d(sets[i], sets[j]))
+                close = 100 * both >= 75 * (n[i] + n[j] - both)
+                assert setsketch._similar(sets[i], sets[j]) == close
+                assert not (apart and close) or (j, i) in got
+                assert apart or (j, i) not in got
+
+
+def test_texts_of_one_template_make_no_pairs():
+    rng = random.Random(2)
+    made = {}
+    for count in (100, 400):
+        sets = [np.sort(np.array([hash(s) & (2**63 - 1) for s in shingles(t)], np.uint64))
+                for t in template_texts(count, rng, (24, 24)).values()]
+        n = np.array([len(x) for x in sets])
+        made[count] = len(setsketch.prefix_pairs(np.concatenate(sets), n, np.arange(count), np.zeros(count, np.int64))[0])
+    assert made == {100: 0, 400: 0}
+
+
+def test_near_misses_and_links_of_one_template(spark, monkeypatch):
+    rng = random.Random(7)
+    texts = template_texts(140, rng, (18, 24))
+    for d in range(140, 170):                                   # some are close to one of them
+        w = texts[rng.randrange(140)].split()
+        w[rng.randrange(len(w))] = f"new{d}"
+        texts[d] = " ".join(w)
+    want = brute_components(texts)
+    assert 100 < len(set(want.values())) < 170
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    for block, volume in ((1024, 1 << 20), (1024, 2000)):
+        monkeypatch.setattr(setsketch, "BLOCK", block)
+        monkeypatch.setattr(setsketch, "BLOCK_SHINGLES", volume)
+        assert {r.doc_id: r.component_id for r in setsketch.near_duplicates(df).collect()} == want
