@@ -49,7 +49,7 @@ def _documents(spark, sf_dir):
 def q_subword_ids(spark, sf_dir):
     """M7: every document as ids of a public subword vocabulary."""
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    return sw.encoded(d, {"input_ids": "text"}, sw.subword_tokenizer(spark, VOCABULARY)).select("doc_id", "input_ids")
+    return sw.encoded(d, {"input_ids": "text"}, sw.subword_tokenizer(spark, VOCABULARY), keep=["doc_id"])
 
 
 @query("subword_roundtrip", sql="""
@@ -58,7 +58,7 @@ SELECT doc_id, length(text)::BIGINT AS n_chars, md5(text) AS text_md5 FROM docum
 def q_subword_roundtrip(spark, sf_dir):
     """M7: ids mapped back through the vocabulary table give the text."""
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    ids = sw.encoded(d, {"input_ids": "text"}, sw.subword_tokenizer(spark, VOCABULARY)).select("doc_id", "input_ids")
+    ids = sw.encoded(d, {"input_ids": "text"}, sw.subword_tokenizer(spark, VOCABULARY), keep=["doc_id"])
     back = sw.decoded(ids, ["doc_id"], "input_ids", sw.read_vocabulary(spark, VOCABULARY))
     return back.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
@@ -91,9 +91,15 @@ class _Plain:
         import hashlib
 
         import regex
-        found = [[m for m in regex.finditer(tx.TOKEN_PATTERN, t)] for t in texts]
-        return [([1 + int(hashlib.md5(m.group().lower().encode()).hexdigest()[:15], 16) for m in ms],
-                 [m.start() for m in ms], [m.end() for m in ms]) for ms in found]
+        out = []
+        for t in texts:
+            ids, starts, ends = [], [], []
+            for m in regex.finditer(tx.TOKEN_PATTERN, t):
+                ids.append(1 + int(hashlib.md5(m.group().lower().encode()).hexdigest()[:15], 16))
+                starts.append(m.start())
+                ends.append(m.end())
+            out.append((ids, starts, ends))
+        return out
 
 
 @query("chunk_own_tokenizer", sql=_CHUNK_SQL + """
