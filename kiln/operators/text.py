@@ -70,8 +70,8 @@ def chunk(df: DataFrame, id_col: str, prompt: Column | str, answer: Column | str
     # ids and spans once per row, before the chunks are unfolded
     if tokenizer is not None:
         texts = given.select(F.col(id_col).alias("sample_id"), _c(prompt).alias("_pt"), _c(answer).alias("_at"))
-        base = encoded(texts, {"_p": "_pt", "_a": "_at"}, tokenizer, spans=with_spans) \
-            .drop("_pt", "_at").withColumnsRenamed({"_p_spans": "_ps", "_a_spans": "_as"})
+        base = encoded(texts, {"_p": "_pt", "_a": "_at"}, tokenizer, spans=with_spans, keep=["sample_id"]) \
+            .withColumnsRenamed({"_p_spans": "_ps", "_a_spans": "_as"})
     else:
         base = given.select(F.col(id_col).alias("sample_id"), token_ids(prompt).alias("_p"), token_ids(answer).alias("_a"),
                             *([token_spans(_c(prompt)).alias("_ps"), token_spans(_c(answer)).alias("_as")]
