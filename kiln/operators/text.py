@@ -16,13 +16,15 @@ every chunk carries the whole second sequence (answer) and is padded to
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.functions.arrays import attention_mask, chunk_starts, pad_to, shift_left
-from kiln.operators.subwords import Tokenizer, encoded
+from kiln.operators.subwords import SLICE_BYTES, Tokenizer, encoded, slices, text_bytes
 
 TOKEN_PATTERN = r"\p{L}+|\p{N}+|[^\p{L}\p{N}\t\n\f\r ]"
 PAD_ID = 0
@@ -114,20 +116,22 @@ _SPAN_TYPE = T.StructType([T.StructField("starts", T.ArrayType(T.LongType())),
                            T.StructField("ends", T.ArrayType(T.LongType()))])
 
 
-@F.pandas_udf(_SPAN_TYPE)
-def token_spans(text: pd.Series) -> pd.DataFrame:
+@F.arrow_udf(_SPAN_TYPE)
+def token_spans(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Character [start, end) of every token (same pattern as
     ``tokens``). Spark has no match-position function; this small helper
-    runs per Arrow batch on the executors, one linear regex scan per row."""
+    runs on the executors, one linear regex scan per row, and gives its spans
+    back in slices of a bounded number of characters."""
     import regex
     pat = regex.compile(TOKEN_PATTERN)
-    starts, ends = [], []
-    for s in text:
-        if s is None:
-            starts.append([])
-            ends.append([])
-            continue
-        ms = list(pat.finditer(s))
-        starts.append([m.start() for m in ms])
-        ends.append([m.end() for m in ms])
-    return pd.DataFrame({"starts": starts, "ends": ends})
+    for batch in texts:
+        for start, n in slices(text_bytes(batch), SLICE_BYTES):
+            starts, ends, upto = [], [], [0]
+            for s in batch.slice(start, n).to_pylist():
+                for m in pat.finditer(s or ""):
+                    starts.append(m.start())
+                    ends.append(m.end())
+                upto.append(len(starts))
+            at = pa.array(upto, pa.int32())
+            yield pa.StructArray.from_arrays(
+                [pa.ListArray.from_arrays(at, pa.array(x, pa.int64())) for x in (starts, ends)], ["starts", "ends"])
