@@ -31,6 +31,7 @@ from kiln.session import materialize
 MAX_PIVOTS = 1024
 CELL_POINTS = 2048
 QUERY_BLOCK = 256
+SLICE_VALUES = 1 << 20        # distances, or components of visits, that a task holds at a time
 
 
 def _matrix(col: pa.Array, width: int) -> np.ndarray:
@@ -61,6 +62,13 @@ def weighted_groups(points: DataFrame, id_col: str, vec: str, label: str) -> Dat
         F.count(F.lit(1)).alias("w"), F.min(id_col).alias("gid"))
 
 
+def _slices(batch: pa.RecordBatch, wide: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose rows times ``wide`` values stay bounded."""
+    rows = max(1, SLICE_VALUES // max(1, wide))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 class _Cells:
     """What is known of the cells: pivots and their distance ranges. Sent to
     the tasks, bounded by the number of pivots."""
@@ -118,9 +126,9 @@ def knn(queries: DataFrame, refs: DataFrame, id_col: str, vec: str, label: str,
     held = spark.sparkContext.broadcast(pivots)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (s for b in batches for s in _slices(b, len(held.value))):
             d = distances(_matrix(batch.column("v"), width), held.value)
-            cell = d.argmin(1) if len(d) else np.zeros(0, np.int64)
+            cell = d.argmin(1)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(d)), cell])],
                 [*batch.schema.names, "cell", "away"])
@@ -144,17 +152,19 @@ def knn(queries: DataFrame, refs: DataFrame, id_col: str, vec: str, label: str,
         def visit(batches: Iterator[pa.RecordBatch], low=low, high=high) -> Iterator[pa.RecordBatch]:
             """The cells a query meets in this round: those with the next
             smallest bounds, unless its k-th distance is below them."""
-            for batch in batches:
+            for batch in (s for b in batches for s in _slices(b, n)):
                 d, least = known.value.bounds(_matrix(batch.column("v"), width))
                 order = np.argsort(least, axis=1, kind="stable")[:, low:high]
                 near = np.take_along_axis(least, order, 1)
                 worst = batch.column("worst").to_numpy(zero_copy_only=False).astype(np.float64)       # null: nan
                 rows, cols = np.nonzero(~(near ** 2 > worst[:, None]) & np.isfinite(near))
                 cell = order[rows, cols]
-                at = pa.array(rows)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).take(at) for c in ("qid", "v", "q_label", "worst")] + [pa.array(cell.astype(np.int32)), pa.array(d[rows, cell])],
-                    ["qid", "v", "q_label", "worst", "cell", "away"])
+                visit = pa.RecordBatch.from_arrays(
+                    [pa.array(rows), pa.array(cell.astype(np.int32)), pa.array(d[rows, cell])], ["row", "cell", "away"])
+                for part in _slices(visit, width):                       # a visit repeats its query's vector
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(c).take(part.column("row")) for c in ("qid", "v", "q_label", "worst")] + [part.column("cell"), part.column("away")],
+                        ["qid", "v", "q_label", "worst", "cell", "away"])
 
         visits = waiting.select("qid", "v", "q_label", "worst").mapInArrow(visit, f"{q_type}, worst double, cell int, away double") \
             .withColumn("piece", F.explode(F.sequence(F.lit(0), pieces[F.col("cell")] - 1)))
@@ -170,7 +180,7 @@ def knn(queries: DataFrame, refs: DataFrame, id_col: str, vec: str, label: str,
 
         def still(batches: Iterator[pa.RecordBatch], at=seen) -> Iterator[pa.RecordBatch]:
             """Queries whose next bound does not exceed their k-th distance."""
-            for batch in batches:
+            for batch in (s for b in batches for s in _slices(b, n)):
                 least = np.sort(known.value.bounds(_matrix(batch.column("v"), width))[1], axis=1)[:, at]
                 worst = batch.column("worst").to_numpy(zero_copy_only=False).astype(np.float64)
                 yield batch.filter(pa.array(np.isfinite(least) & ~(least ** 2 > worst)))
