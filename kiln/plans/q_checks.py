@@ -94,8 +94,10 @@ def q_sequence_files(spark, sf_dir):
 
 
 def _event_lines(content: bytes):
-    """One "event_id,value" a line."""
-    for line in content.decode().splitlines():
+    """One "event_id,value" a line, read line by line."""
+    import io
+    for line in io.TextIOWrapper(io.BytesIO(content), "utf-8", newline="\n"):
+        line = line.rstrip("\n")
         event_id, comma, value = line.partition(",")
         if not comma:
             raise ValueError(f"not event_id,value: {line}")

@@ -4,7 +4,9 @@ is reached and files are dealt to tasks by size."""
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 BATCH_ROWS = 10_000
+HELD_BYTES = 8 << 20          # decoded rows of a file kept in memory; beyond, in the task's temp folder
 
 #: the bytes of a file -> its rows in order, as tuples of the schema's fields
 Decoder = Callable[[bytes], Iterable[tuple]]
@@ -26,7 +29,9 @@ def read_sequences(spark: SparkSession, path: str, decoder: Decoder, schema: str
     in the file's order. A file that the decoder fails on, or whose rows do
     not fit the schema, has no rows: rejects lists it as (seq_id, reason).
     Spark passes over files without bytes: they are in neither. A file is
-    decoded whole in one task; its rows leave in batches."""
+    decoded whole in one task, and only then do its rows leave: until its end
+    is reached they wait as Arrow batches, beyond ``HELD_BYTES`` on disk, so a
+    decoder that yields its rows needs little memory besides the file."""
     fields = (schema if isinstance(schema, T.StructType) else spark.createDataFrame([], schema).schema).fields
     kinds = [to_arrow_type(f.dataType) for f in fields]
     names = [f.name for f in fields]
@@ -35,28 +40,43 @@ def read_sequences(spark: SparkSession, path: str, decoder: Decoder, schema: str
         raise ValueError(f"field names {sorted(taken)} are used for the sequence")
     held = spark.sparkContext.broadcast(cloudpickle.dumps(decoder))
 
-    def batch(seq: str, first: int, rows: list[tuple], reason: str | None = None) -> pa.RecordBatch:
-        cols = list(zip(*rows)) if rows else [()] * len(names)
-        n = len(rows)
-        if reason is not None:
-            cols, n = [(None,)] * len(names), 1
+    plain = pa.schema(list(zip(names, kinds)))
+
+    def batch(seq: str, first: int, rows: pa.RecordBatch) -> pa.RecordBatch:
+        n = rows.num_rows
+        return pa.RecordBatch.from_arrays(
+            [pa.array([seq] * n, pa.string()), pa.array(range(first, first + n), pa.int64()), *rows.columns, pa.nulls(n, pa.string())],
+            ["seq_id", "pos", *names, "reason"])
+
+    def failed(seq: str, reason: str) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array([seq] * n, pa.string()), pa.array([None] if reason is not None else range(first, first + n), pa.int64()),
-             *[pa.array(c, k) for c, k in zip(cols, kinds)], pa.array([reason] * n, pa.string())], ["seq_id", "pos", *names, "reason"])
+            [pa.array([seq], pa.string()), pa.nulls(1, pa.int64()), *[pa.nulls(1, k) for k in kinds], pa.array([reason], pa.string())],
+            ["seq_id", "pos", *names, "reason"])
+
+    def fill(file, rows: Iterator[tuple]) -> None:
+        """The decoded rows as an Arrow stream; fails where a row does not fit."""
+        with pa.ipc.new_stream(file, plain) as sink:
+            while some := list(islice(rows, BATCH_ROWS)):
+                wrong = next((r for r in some if len(r) != len(names)), None)
+                if wrong is not None:
+                    raise ValueError(f"a row of {len(wrong)} fields, not {len(names)}")
+                sink.write_batch(pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some), kinds)], schema=plain))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = cloudpickle.loads(held.value)
         for files in batches:
             for seq, content in zip(files.column("path").to_pylist(), files.column("content")):
-                try:                                       # whatever the caller's decoder raises is the file's reason
-                    rows = list(run(content.as_py()))
-                    wrong = next((r for r in rows if len(r) != len(names)), None)
-                    if wrong is not None:
-                        raise ValueError(f"a row of {len(wrong)} fields, not {len(names)}")
-                    out = [batch(seq, at, rows[at:at + BATCH_ROWS]) for at in range(0, len(rows), BATCH_ROWS)]
-                except Exception as e:  # noqa: BLE001
-                    out = [batch(seq, 0, [], f"{type(e).__name__}: {e}")]
-                yield from out
+                with tempfile.SpooledTemporaryFile(HELD_BYTES) as file:
+                    try:                                   # whatever the caller's decoder raises is the file's reason
+                        fill(file, iter(run(content.as_py())))
+                    except Exception as e:  # noqa: BLE001
+                        yield failed(seq, f"{type(e).__name__}: {e}")
+                        continue
+                    file.seek(0)
+                    at = 0
+                    for rows in pa.ipc.open_stream(file):
+                        yield batch(seq, at, rows)
+                        at += rows.num_rows
 
     spec = T.StructType([T.StructField("seq_id", T.StringType()), T.StructField("pos", T.LongType()),
                          *[T.StructField(f.name, f.dataType) for f in fields], T.StructField("reason", T.StringType())])
