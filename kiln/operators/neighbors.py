@@ -1,138 +1,41 @@
-"""Exact k-nearest neighbours on a grid (J5) and Borderline-SMOTE.
+"""Exact k-nearest neighbours (J5) and Borderline-SMOTE.
 
 No pairwise join of whole tables. Reference points are first collapsed into
 (location, class) groups with a weight, so exact duplicates -- even a third
-of all rows at one point -- are one group. Each query is matched only against
-the groups in the 3^d grid cells around its own (an equi-join on the cell
-key). A query is *resolved* when its k-th neighbour is strictly closer than
-the boundary of that block: no point outside can then be nearer, so the
-answer is exact. Unresolved queries go to another round with the cell size
-doubled; the loop ends when every query is resolved (the last round's block
-covers all data), so there is no cap on candidates.
+of all rows at one point -- are one group. Up to ``MAX_DIMS`` dimensions the
+search goes through the boxes of ``boxes.py``, beyond through the pivot cells
+of ``cells.py``: both meet a query only with the cells that may hold one of
+its neighbours, without a cap on candidates.
 
 Ties at equal distance are broken by class (the ``first_class`` first, then
 the rest) and then by the group's smallest id; units inside a group are
-interchangeable. Beyond ``MAX_DIMS`` dimensions the search goes to the pivot
-cells of ``cells.py``, with the same rules.
+interchangeable.
 """
 
 from __future__ import annotations
 
-import itertools
-import math
-
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.functions.arrays import squared_distance
-from kiln.operators import cells
+from kiln.operators import boxes, cells
 from kiln.operators.split import id_rank
 from kiln.session import materialize
 
 MAX_DIMS = 8
 
 
-def group_points(df: DataFrame, id_col: str, vec: str, label: str) -> DataFrame:
-    """(vec, label, w, gid): one row per distinct (location, class)."""
-    return df.groupBy(F.col(vec).alias("_gv"), F.col(label).alias("_gl")).agg(
-        F.count(F.lit(1)).alias("_w"), F.min(id_col).alias("_gid"))
-
-
-def _cell(v, h: float):
-    return F.transform(v, lambda x: F.floor(x / F.lit(h)).cast("bigint"))
-
-
 def knn(queries: DataFrame, refs: DataFrame, id_col: str, vec: str, label: str, k: int,
-        first_class=None, exclude_self: bool = True, start_cell: float | None = None,
-        target_per_cell: float = 8.0, max_cell_groups: int = 4096, max_rounds: int = 60) -> DataFrame:
+        first_class=None, exclude_self: bool = True, max_cell_groups: int = 4096) -> DataFrame:
     """For each query (id_col, vec[, label]) the k nearest reference units,
     excluding the query itself when ``exclude_self`` (the query must then be a
     reference row with the same id). Output rows: (qid, n_vec, n_label, take,
     d2) with ``sum(take) = min(k, available)`` per query."""
-    spark = queries.sparkSession
     first = queries.select(F.size(vec)).first()
-    if first is not None and first[0] > MAX_DIMS:          # a grid would meet 3^d cells per query
+    if first is not None and (first[0] or 0) > MAX_DIMS:    # a box's bound says little there
         hits, _ = cells.knn(queries, refs, id_col, vec, label, k, first_class, exclude_self)
         return hits.select("qid", "n_vec", "n_label", "take", "d2")
-    groups = group_points(refs, id_col, vec, label).persist(StorageLevel.MEMORY_AND_DISK)
-    q = queries.select(F.col(id_col).alias("_qid"), F.col(vec).alias("_qv"),
-                       (F.col(label) if exclude_self else F.lit(None)).alias("_ql"))
-    d = len(q.first()["_qv"]) if not q.isEmpty() else 0
-    if d == 0:
-        groups.unpersist()
-        return spark.createDataFrame([], "qid long, n_vec array<double>, n_label int, take long, d2 double")
-    # Starting cell size from the data's extent (references and queries) and size.
-    both = groups.select("_gv", "_w").unionByName(q.select(F.col("_qv").alias("_gv"), F.lit(0).cast("bigint").alias("_w")))
-    ext = both.agg(*[F.min(F.col("_gv")[i]) for i in range(d)], *[F.max(F.col("_gv")[i]) for i in range(d)],
-                   F.sum("_w")).first()
-    spans = [max(float(ext[d + i]) - float(ext[i]), 1e-9) for i in range(d)]
-    n = int(ext[2 * d] or 0)
-    h = start_cell or (math.prod(spans) * target_per_cell / max(n, 1)) ** (1.0 / d)
-    h = max(h, max(spans) / 1e6)
-    # Bound the work per query: shrink cells until no cell holds more than
-    # ``max_cell_groups`` groups (distinct locations; exact duplicates are one
-    # group already), so a query sees at most 3^d * max_cell_groups groups in
-    # its first round. Smaller cells never lose exactness: ring growth widens.
-    for _ in range(30):
-        top = groups.groupBy(_cell(F.col("_gv"), h).alias("_c")).count().agg(F.max("count")).first()[0]
-        if top is None or top <= max_cell_groups:
-            break
-        h /= 2.0
-    offsets = F.array(*[F.array(*[F.lit(o).cast("bigint") for o in off])
-                        for off in itertools.product((-1, 0, 1), repeat=d)])
-    pending = q.persist(StorageLevel.MEMORY_AND_DISK)
-    results = []
-    for _ in range(max_rounds):
-        covers_all = h > 2 * max(spans)
-        rc = groups.withColumn("_cell", _cell(F.col("_gv"), h))
-        qc = pending.withColumn("_qc", _cell(F.col("_qv"), h)).withColumn(
-            "_cell", F.explode(F.transform(offsets, lambda o: F.zip_with(o, F.col("_qc"), lambda a, b: a + b))))
-        pairs = qc.join(rc, "_cell").withColumn("_d2", squared_distance("_qv", "_gv"))
-        same = (F.col("_gv") == F.col("_qv")) & (F.col("_gl") == F.col("_ql")) if exclude_self else F.lit(False)
-        pairs = pairs.withColumn("_we", F.col("_w") - F.when(same, 1).otherwise(0)).where(F.col("_we") > 0)
-        first = (F.col("_gl") == F.lit(first_class)).cast("int") if first_class is not None else F.lit(0)
-        w = Window.partitionBy("_qid").orderBy(F.col("_d2"), first.desc(), F.col("_gid"))
-        ranked = (pairs.withColumn("_cum", F.sum("_we").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                  .withColumn("_prev", F.col("_cum") - F.col("_we"))
-                  .where(F.col("_prev") < k)
-                  .withColumn("take", F.least(F.col("_we"), F.lit(k) - F.col("_prev"))))
-        # safe radius: distance from the query to the boundary of its 3^d block
-        safe = F.array_min(F.zip_with(F.col("_qv"), F.col("_qc"), lambda x, c: F.least(
-            x - (c - 1).cast("double") * F.lit(h), (c + 2).cast("double") * F.lit(h) - x)))
-        per_q = ranked.groupBy("_qid").agg(F.max("_d2").alias("_dk"), F.sum("take").alias("_got"),
-                                           F.first(safe).alias("_safe"))
-        ok = per_q.where(F.lit(covers_all) | ((F.col("_got") >= k) & (F.sqrt("_dk") < F.col("_safe"))))
-        done = materialize(ranked.join(ok.select("_qid"), "_qid", "left_semi").select(
-            F.col("_qid").alias("qid"), F.col("_gv").alias("n_vec"), F.col("_gl").alias("n_label"),
-            "take", F.col("_d2").alias("d2")), "knn-done")
-        results.append(done)
-        if covers_all:
-            break
-        # still pending (including queries with no candidate in this block),
-        # written out so the next round starts from a scan, not from a plan
-        # that grows with every round
-        nxt = materialize(pending.join(done.select(F.col("qid").alias("_qid")).distinct(),
-                                       "_qid", "left_anti"), "knn-pending")
-        left = nxt.count()
-        pending.unpersist()
-        pending = nxt
-        if left == 0:
-            break
-        # Unresolved queries that already have k candidates need a block whose
-        # half-width reaches their k-th distance: jump there rather than
-        # doubling step by step (one tiny aggregate over per-query stats).
-        need = per_q.where(F.col("_got") >= k).join(nxt.select("_qid"), "_qid", "left_semi") \
-            .agg(F.max(F.sqrt("_dk"))).first()[0]
-        h = max(2.0 * h, float(need) if need is not None else 0.0)
-    else:
-        raise RuntimeError(f"queries left open after {max_rounds} rounds: raise max_rounds or start_cell")
-    pending.unpersist()
-    groups.unpersist()
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return out
+    return boxes.knn(queries, refs, id_col, vec, label, k, first_class, exclude_self, max_cell_groups)
 
 
 def danger_points(train: DataFrame, id_col: str, vec: str, label: str, minority, majority,
@@ -140,12 +43,12 @@ def danger_points(train: DataFrame, id_col: str, vec: str, label: str, minority,
     """Borderline-SMOTE step 1: minority rows whose ``m`` nearest neighbours
     (all classes, itself excluded) hold a majority count in ``[m/2, m)``.
     Output: (id, vec, n_majority, danger)."""
-    train = train.select(id_col, vec, label).persist(StorageLevel.MEMORY_AND_DISK)
+    train = materialize(train.select(id_col, vec, label), "smote-train")
     mino = train.where(F.col(label) == F.lit(minority))
     nn = knn(mino, train, id_col, vec, label, m, first_class=majority)
     counts = nn.groupBy("qid").agg(F.sum(F.when(F.col("n_label") == F.lit(majority), F.col("take"))
                                          .otherwise(0)).alias("n_majority"))
-    return (mino.join(counts.withColumnRenamed("qid", id_col), id_col, "left")
+    return (mino.join(counts.withColumnRenamed("qid", id_col).hint("merge"), id_col, "left")
             .withColumn("n_majority", F.coalesce("n_majority", F.lit(0)).cast("bigint"))
             .withColumn("danger", (F.col("n_majority") >= F.lit(m / 2.0)) & (F.col("n_majority") < F.lit(m)))
             .select(id_col, vec, "n_majority", "danger"))

@@ -16,13 +16,14 @@ def _train(spark, sf_dir):
     """Training rows (stratified 70/30 by quality) with 3 features: length in
     thousands of characters, words in hundreds, is-English. Fixed scales (not
     fitted ones) keep the distances bit-identical to the SQL oracle."""
-    d = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "n_chars"])
-    lab = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
-    f = d.join(lab, "doc_id").select(
-        "doc_id", F.col("quality").alias("label"),
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "n_chars"]).select(
+        "doc_id",                                                       # the texts stay where they are read
         F.array(F.col("n_chars").cast("double") / F.lit(1000.0),
                 F.size(F.split("text", " ")).cast("double") / F.lit(100.0),
                 F.when(F.col("lang") == "en", F.lit(1.0)).otherwise(F.lit(0.0))).alias("v"))
+    lab = read_table(spark, sf_dir, "labels", ["doc_id", F.col("quality").alias("label")])
+    # labels grow with the documents: never broadcast
+    f = d.join(lab.hint("merge"), "doc_id").select("doc_id", "label", "v")
     return stratified_split(f, "doc_id", "label", 0.7, seed=0).where("split = 'train'").drop("split")
 
 
